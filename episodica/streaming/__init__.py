@@ -1,0 +1 @@
+"""No stream jobs: every job of this engine is a bounded batch job."""
