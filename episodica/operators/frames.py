@@ -138,13 +138,15 @@ def decode(
     decoders: Sequence[tuple[str, Decoder]],
     image_size: int | None = None,
     expected: str | None = None,
+    fail_short: bool = False,
     batch: int = FRAME_BATCH,
 ) -> DataFrame:
     """One row per frame: the columns of ``videos`` but content, frame_pos, decoder, pixels.
 
     ``decoders`` is an ordered list of (name, bytes -> iterator of frames). A decoder is passed
     over if it fails, or has nothing, at the first frame; a failure later on raises. With an
-    ``expected`` column, decoding stops at that many frames and skips files that expect none.
+    ``expected`` column, decoding stops at that many frames and skips files that expect none;
+    ``fail_short`` raises if a file has fewer.
     """
     if batch <= 0 or not decoders:
         raise ValueError("decode needs a positive batch and at least one decoder.")
@@ -181,6 +183,8 @@ def decode(
                         break
                 if held:
                     yield _frame_batch(one, names, at, name, held, arrow)
+                if fail_short and most is not None and at + len(held) < most:
+                    raise RuntimeError(f"Video ended early: {at + len(held)} of {most} frames ({who}).")
 
     return videos.select(*names, "content").mapInArrow(run, schema)
 
