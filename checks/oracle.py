@@ -100,37 +100,40 @@ bytes as (
 # --- quality -------------------------------------------------------------------------------
 
 
-def runs(view: str) -> str:
+def runs(view: str, split: str = "") -> str:
+    """CTE ``runs`` of a view; ``split`` names the column of splits that are checked apart."""
+    by, also = (f"partition by {split}", f"{split}, ") if split else ("", "")
     return f"""marked as (
-  select *, lag(episode_index) over (order by "index") as pe, lag(frame_index) over (order by "index") as ps
+  select *, lag(episode_index) over ({by} order by "index") as pe, lag(frame_index) over ({by} order by "index") as ps
   from {view}),
 opened as (select *, case when pe is null or pe <> episode_index then 1 else 0 end as o from marked),
-numbered as (select *, sum(o) over (order by "index" rows unbounded preceding) as run from opened),
+numbered as (select *, sum(o) over ({by} order by "index" rows unbounded preceding) as run from opened),
 folded as (
-  select episode_index, run, min("index") as run_start, max("index") as run_end, count(*) as n_rows,
+  select {also}episode_index, run, min("index") as run_start, max("index") as run_end, count(*) as n_rows,
     arg_min(frame_index, "index") as first_step, bool_or(o = 0 and frame_index <> ps + 1) as step_gap,
     arg_max(done, "index") as last_done, count(*) filter (where done) as n_done
-  from numbered group by 1, 2),
+  from numbered group by {also}episode_index, run),
 runs as (
-  select * exclude (run), row_number() over (partition by episode_index order by run_start) > 1 as again
+  select * exclude (run), row_number() over (partition by {also}episode_index order by run_start) > 1 as again
   from folded)"""
 
 
-def issues(view: str, terminal: bool = True) -> str:
+def issues(view: str, terminal: bool = True, split: str = "") -> str:
+    also = f"{split}, " if split else ""
+    which = f"select {also}episode_index, run_start"
     parts = [
-        f"select episode_index, run_start, 0 as seq, {q(K.NOT_CONTIGUOUS)} as message from runs where again",
-        f"select episode_index, run_start, 1, {fmt(K.STARTS_AT, 'first_step')} from runs where first_step <> 0",
-        f"select episode_index, run_start, 2, {q(K.STEP_GAP)} from runs where step_gap",
+        f"{which}, 0 as seq, {q(K.NOT_CONTIGUOUS)} as message from runs where again",
+        f"{which}, 1, {fmt(K.STARTS_AT, 'first_step')} from runs where first_step <> 0",
+        f"{which}, 2, {q(K.STEP_GAP)} from runs where step_gap",
     ]
     if terminal:
-        parts.append(f"select episode_index, run_start, 3, {q(K.NOT_TERMINATED)} from runs where not last_done")
-    early = 4 if terminal else 3
+        parts.append(f"{which}, 3, {q(K.NOT_TERMINATED)} from runs where not last_done")
     parts.append(
-        f"select episode_index, run_start, {early}, {q(K.EARLY_DONE)} from runs"
+        f"{which}, {4 if terminal else 3}, {q(K.EARLY_DONE)} from runs"
         " where n_done > case when last_done then 1 else 0 end"
     )
     body = " union all ".join(parts)
-    return f"{runs(view)}, issues as (select episode_index, run_start, cast(seq as bigint) as seq, message from ({body}))"
+    return f"{runs(view, split)}, issues as (select * replace (cast(seq as bigint) as seq) from ({body}))"
 
 
 ISSUE_ROWS = "select episode_index, run_start, seq, message from issues"
@@ -147,8 +150,10 @@ def counts(name: str, ctes: str, view: str) -> str:
     )
 
 
-SPLIT_ISSUES = f"""{LINE_STEPS}, {ORDER_SPLITS}, {issues("line_steps")}, status as (
-  select split, o_orderkey as episode_index, o_orderkey not in (select episode_index from issues) as valid
+SPLIT_ISSUES = f"""{LINE_STEPS}, {ORDER_SPLITS}, split_steps as (
+  select * from line_steps join splits on episode_index >= lo and episode_index < hi),
+{issues("split_steps", split="split")}, status as (
+  select split, o_orderkey as episode_index, (split, o_orderkey) not in (select (split, episode_index) from issues) as valid
   from orders join splits on o_orderkey >= lo and o_orderkey < hi)"""
 
 
@@ -242,7 +247,7 @@ CONVERTED = f"""{CONV_BASE}, {CONV_SPLITS}, {CAMS}, steps as (
   select ep, step0, {RECIPE["frame_index"]} as frame_index, {RECIPE["done"]} as done, {RECIPE["index"]} as "index",
     length(said) as size
   from conv_base),
-conv_steps as (select ep as episode_index, frame_index, done, "index" from steps)"""
+conv_steps as (select split, ep as episode_index, frame_index, done, "index" from steps join splits on ep >= lo and ep < hi)"""
 
 
 def converted(kept: str) -> str:
@@ -388,10 +393,10 @@ from line_store s join per p on s.split = p.split and s.camera = p.camera and s.
     "f6_channel_first": """select vec_id, pos, cast(embedding[cast((pos % 3) * 20 + pos // 3 + 1 as bigint)] as double) as value
 from embeddings, range(0, 60) t(pos)""",
     "f7_resize_half": f"""with {PIXELS}, small as (
-  select vec_id, copy, y * 4 + x as at,
+  select vec_id, copy, y * 4 + x as cell,
     (b[16 * y + 2 * x + 1] + b[16 * y + 2 * x + 2] + b[16 * y + 2 * x + 9] + b[16 * y + 2 * x + 10] + 2) // 4 as v
   from bytes, range(0, 4) t(y), range(0, 4) u(x))
-select vec_id, copy, string_agg(lpad(hex(v), 2, '0'), '' order by at) as bytes from small group by 1, 2""",
+select vec_id, copy, string_agg(lpad(hex(v), 2, '0'), '' order by cell) as bytes from small group by 1, 2""",
     "f7_resize_up": f"with {PIXELS} select vec_id, copy, cast(13 as bigint) as height, cast(169 as bigint) as n from bytes",
     "u4_decode_texts": f"with {TEXT_FRAMES} select episode_index, frame_pos, decoder, bytes from frames",
     "a7_decoder_counts": f"with {TEXT_FRAMES} select decoder, count(*) as n_files from files where n > 0 group by 1",
@@ -434,7 +439,8 @@ select page_id, stem as sanitised, slug, case when instr(stem, '__') > 0 then le
 from customer join nation on c_nationkey = n_nationkey""",
     "f9_to_double": f"""with {LINE_BASE} select ord as "index", cast(cast(is_last as integer) as double) as done,
   cast(step0 as double) as frame_index, cast(cast(step0 / 10 as float) as double) as "timestamp" from line_base""",
-    "e1_convert_drop": f"""with {CONVERTED}, {issues('conv_steps')}, {converted("where ep not in (select episode_index from issues)")}
+    "e1_convert_drop": f"""with {CONVERTED}, {issues('conv_steps', split='split')},
+{converted("where (split, ep) not in (select (split, episode_index) from issues)")}
 select p.split, camera, p."row", p.ep as episode_idx, p.frame_index as step_idx, p.done, p."index", p.ep % 3 as task_index,
   cast(p.size as double) as state_0, rpad('turn ' || (p."row" - i.ep_offset) || ' of ' || i.ep, 64, '.') as frame
 from placed p join conv_index i on p.split = i.split and p."row" >= i.ep_offset and p."row" < i.ep_offset + i.ep_len, cameras""",

@@ -64,12 +64,13 @@ def inspect_columns(rows: DataFrame, episode_table: DataFrame | None = None) ->
         if name in (*STORE, "row"):
             continue
         sizes, dtype = [], field.dataType
-        if field.dataType == K.PIXELS:
+        is_pixels = dtype.simpleString() == K.PIXELS.simpleString()
+        if is_pixels:
             sizes, dtype = [F.col(f"{name}.{p}") for p in ("height", "width", "channels")], T.BinaryType()
         elif isinstance(dtype, T.ArrayType):
             sizes, dtype = [F.size(name)], dtype.elementType
         # A leaf of a struct is counted, so that pixel bytes are not read.
-        present = sizes[0] if field.dataType == K.PIXELS else F.col(name)
+        present = sizes[0] if is_pixels else F.col(name)
         dims = [_extent(F.min(s), F.max(s)) for s in sizes]
         shape = F.concat(F.lit("["), F.concat_ws(", ", F.count(present).cast("string"), *dims), F.lit("]"))
         aggs.append(F.struct(F.count(present).alias("n_values"), shape.alias("shape")).alias(name))

@@ -114,7 +114,7 @@ def convert(
 def check_totals(steps: DataFrame, table: DataFrame) -> None:
     """Every split has rows, as many as its episode table declares."""
     actual = steps.groupBy("split").agg(F.count(F.lit(1)).alias("actual"))
-    declared = table.groupBy("split").agg(F.sum("ep_len").alias("declared"), F.count_if("ep_len is null").alias("unknown"))
+    declared = table.groupBy("split").agg(F.sum("ep_len").alias("declared"), F.count_if(F.col("ep_len").isNull()).alias("unknown"))
     for r in declared.join(actual, "split", "left").na.fill(0).collect():
         if r.unknown:
             raise KeyError(f"{r.unknown} episodes of split {r.split!r} have no metadata.")
