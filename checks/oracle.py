@@ -401,8 +401,7 @@ select vec_id, copy, string_agg(lpad(hex(v), 2, '0'), '' order by cell) as bytes
     "u4_decode_texts": f"with {TEXT_FRAMES} select episode_index, frame_pos, decoder, bytes from frames",
     "a7_decoder_counts": f"with {TEXT_FRAMES} select decoder, count(*) as n_files from files where n > 0 group by 1",
     "u1_signals_long": f"""with {LINE_STORE}, wide as (
-  select split, "row", step_idx as step, {{'signals/done': cast(done as integer), 'signals/episode_idx': episode_idx}} as ids, *
-  from line_store where camera = {q(CAMERAS[0])})
+  select *, ep as episode_idx, step0 as step, step0 as step_idx, is_last as done from step_rows)
 select split, "row", 'signals/done' as entity_path, step, cast(cast(done as integer) as double) as value from wide
 union all select split, "row", 'signals/episode_idx', step, cast(episode_idx as double) from wide
 union all select split, "row", 'signals/step_idx', step, cast(step as double) from wide

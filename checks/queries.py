@@ -206,8 +206,8 @@ def reconcile(spark, sf_dir):
 
 
 def assign_slices(spark, sf_dir):
-    """Rows of one camera with the slices of a broken index: overlaps, gaps, bounds beyond the end."""
-    rows = X.line_store(spark, sf_dir).where(F.col("camera") == X.CAMERAS[0]).select("split", "row", "episode_idx")
+    """Rows with the slices of a broken index: overlaps, gaps, bounds beyond the end."""
+    rows = X.line_rows(spark, sf_dir).select("split", "row", "episode_idx")
     n_rows, _ = materialised(rows.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows")))
     index = X.bad_index(spark, sf_dir).join(n_rows, "split")
     return slices.assign_slices(rows, index, "n_rows").select("split", "ep_pos", "row", "episode_idx")
@@ -250,7 +250,8 @@ def inspect_columns(spark, sf_dir):
     return store_checks.inspect_columns(X.bad_store(spark, sf_dir), X.line_index(spark, sf_dir))
 
 
-def _written(spark, sf_dir):
+def written(spark, sf_dir):
+    """Root of a new store written from the lines."""
     root = f"{X.scratch(spark)}/store"
     bounds = X.bounds(spark, sf_dir)
     store.write_store(
@@ -263,7 +264,7 @@ def _written(spark, sf_dir):
 
 
 def written_store(spark, sf_dir):
-    back = store.read_store(spark, _written(spark, sf_dir))
+    back = store.read_store(spark, written(spark, sf_dir))
     return back.select(
         *STORE,
         "row",
@@ -281,19 +282,19 @@ def written_store(spark, sf_dir):
 
 
 def written_episode_table(spark, sf_dir):
-    return store.read_episode_table(spark, _written(spark, sf_dir))
+    return store.read_episode_table(spark, written(spark, sf_dir))
 
 
 def written_attributes(spark, sf_dir):
     """Stores found below the root with their attributes and number of rows."""
-    root = _written(spark, sf_dir)
+    root = written(spark, sf_dir)
     n = store.read_store(spark, root).groupBy(*STORE).agg(F.count(F.lit(1)).alias("n_rows"))
     found = store.list_stores(spark, root).join(store.read_attributes(spark, root), STORE).join(n, STORE)
     return longs(found.drop("generated_by"), "fps")
 
 
 def selected_episode(spark, sf_dir):
-    root = _written(spark, sf_dir)
+    root = written(spark, sf_dir)
     of_split, camera = store.select_store(store.list_stores(spark, root), "val", "observation_images_wrist")
     offset, length = store.episode_bounds(store.read_episode_table(spark, root), of_split, 7)
     rows = store.select_episode(store.read_store(spark, root), of_split, camera, offset, length)
@@ -303,7 +304,7 @@ def selected_episode(spark, sf_dir):
 # --- sources -------------------------------------------------------------------------------
 
 
-def _raw_root(spark, sf_dir, view=None):
+def raw_root(spark, sf_dir, view=None):
     """A raw dataset derived from the lines: steps, episode metadata and the info document."""
     root = X.scratch(spark)
     steps = (view or X.clean_steps)(spark, sf_dir)
@@ -324,7 +325,7 @@ def _raw_root(spark, sf_dir, view=None):
 
 
 def read_steps(spark, sf_dir):
-    root = _raw_root(spark, sf_dir)
+    root = raw_root(spark, sf_dir)
     steps = source.canonical_steps(source.read_steps(spark, root, source.K.SOURCE_COLUMNS))
     return steps.select(
         "episode_index",
@@ -339,7 +340,7 @@ def read_steps(spark, sf_dir):
 
 
 def read_steps_of_split(spark, sf_dir):
-    root = _raw_root(spark, sf_dir)
+    root = raw_root(spark, sf_dir)
     info = source.read_info(spark, root)
     (name, start, end), *_ = info.bounds(["val"])
     steps = source.read_steps(spark, root, source.K.QUALITY_COLUMNS, episodes=(start, end))
@@ -348,7 +349,7 @@ def read_steps_of_split(spark, sf_dir):
 
 def dataset_info(spark, sf_dir):
     """Steps per split and camera as the info document names them."""
-    root = _raw_root(spark, sf_dir)
+    root = raw_root(spark, sf_dir)
     info = source.read_info(spark, root)
     cameras = source.info_cameras(source.info_document(spark, root))
     steps = splits.assign_splits(source.read_steps(spark, root, ["episode_index"]), info.bounds())
@@ -357,11 +358,11 @@ def dataset_info(spark, sf_dir):
 
 
 def read_episode_metadata(spark, sf_dir):
-    return source.read_episodes(spark, _raw_root(spark, sf_dir))
+    return source.read_episodes(spark, raw_root(spark, sf_dir))
 
 
 def dataset_catalogue(spark, sf_dir):
-    roots = {"tables/lines": _raw_root(spark, sf_dir), "tables/events": _raw_root(spark, sf_dir, X.event_steps)}
+    roots = {"tables/lines": raw_root(spark, sf_dir), "tables/events": raw_root(spark, sf_dir, X.event_steps)}
     return source.catalogue(source.read_many(spark, roots, ["episode_index", "frame_index"]))
 
 
@@ -471,8 +472,7 @@ def decoder_counts(spark, sf_dir):
 
 
 def signals_long(spark, sf_dir):
-    rows = X.line_store(spark, sf_dir).where(F.col("camera") == X.CAMERAS[0])
-    return signals.to_long(rows, "split", "row")
+    return signals.to_long(X.line_rows(spark, sf_dir), "split", "row")
 
 
 def _with_offsets(spark, sf_dir):

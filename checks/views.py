@@ -119,14 +119,19 @@ def bounds(spark: SparkSession, sf_dir: str, name: str = "orders") -> list[tuple
     return [("train", 0, a), ("val", a, b), ("test", b, n)]
 
 
-def line_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A clean store without files: split, camera, row and every per-step column."""
+def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a clean store, the same for every camera: split, row and every per-step column."""
     steps = assign_splits(clean_steps(spark, sf_dir), bounds(spark, sf_dir))
     rows = with_proprio(store_rows(row_position(steps, group=["split"])))
     colour = F.unhex(F.lpad(F.hex(F.col("row") % 16777216), 6, "0"))
     one = F.lit(1)
     pixels = F.struct(one.alias("height"), one.alias("width"), F.lit(3).alias("channels"), colour.alias("data"))
-    return fan_out(rows.withColumn("pixels", pixels), CAMERAS)
+    return rows.withColumn("pixels", pixels)
+
+
+def line_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clean store without files."""
+    return fan_out(line_rows(spark, sf_dir), CAMERAS)
 
 
 def line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
