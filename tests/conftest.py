@@ -1,10 +1,14 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+TESTS = Path(__file__).resolve().parent
+sys.path.insert(0, str(TESTS.parent))
+# Python workers import the package and the decoders of the tests.
+os.environ["PYTHONPATH"] = os.pathsep.join([str(TESTS.parent), str(TESTS), os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")
