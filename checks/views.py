@@ -191,6 +191,8 @@ def pixel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each whole document text as a file: 8 x 8 frames of its bytes, padded with blanks."""
-    return table(spark, sf_dir, "documents").select(
+    files = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("episode_index"), F.lit(CAMERAS[0]).alias("camera"), F.encode("text", "UTF-8").alias("content")
     )
+    # Decoding costs far more than moving a file, so files are spread evenly.
+    return files.repartition("episode_index", "camera")

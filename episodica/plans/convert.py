@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,10 @@ from episodica.operators.splits import assign_splits, fan_out, resolve_cameras
 from episodica.operators.summary import episode_status, requested_episodes, split_summary
 from episodica.sources.reports import write_conversion_report
 from episodica.sources.steps import canonical_steps, null_keys, read_episodes, read_info, read_steps, read_videos
-from episodica.sources.store import FILE_BITS, check_compression, store_rows, with_proprio, write_store
+from episodica.sources.store import block_bits, check_compression, store_rows, with_proprio, write_store
+
+# Wanted video files up to which their list is sent to every executor (about 100 bytes each).
+BROADCAST_VIDEOS = 500_000
 
 
 def convert(
@@ -85,22 +88,17 @@ def convert(
         raise DirtyEpisodes(f"No episodes are left in splits {empty}.")
 
     kept = status.where("kept").select("split", "episode_index")
-    table, _ = materialised(episode_table(lengths(read_episodes(spark, root), kept)))
+    table, n_episodes = materialised(episode_table(lengths(read_episodes(spark, root), kept)))
     kept_steps = drop_dirty(steps, issues, ["split"]) if policy == "drop" else steps
     check_totals(kept_steps, table)
 
     rows = with_proprio(store_rows(row_position(kept_steps, group=["split"])))
     rows = fan_out(rows, cameras)
     files = read_videos(spark, root) if videos is None else videos
-    skipped = F.coalesce("frame_offset", F.lit(0)) if "frame_offset" in files.columns else F.lit(0)
-    wanted = (
-        fan_out(table, cameras)
-        .join(files, ["episode_index", "camera"], "left")
-        .withColumn("expected", F.col("ep_len") + skipped)
-    )
-    frames = frame_rows(decode(wanted, decoders, image_size, expected="expected", fail_short=True, batch=batch))
+    located = locate(fan_out(table.where("ep_len > 0"), cameras), files, n_episodes * len(cameras))
+    frames = frame_rows(decode(located, decoders, image_size, expected="expected", fail_short=True, batch=batch))
     write_store(
-        attach_by_block(spark, rows, frames),
+        attach_by_block(spark, rows, frames, block_bits(frame_size(info.cameras, cameras, image_size))),
         table,
         attributes(spark, repo_id, info.fps, [b[0] for b in bounds], cameras),
         out,
@@ -124,7 +122,28 @@ def check_totals(steps: DataFrame, table: DataFrame) -> None:
             raise RuntimeError(f"Split {r.split!r} has {r.actual} rows, but its episodes declare {r.declared}.")
 
 
-def attach_by_block(spark: SparkSession, rows: DataFrame, frames: DataFrame) -> DataFrame:
+def locate(wanted: DataFrame, files: DataFrame, n_wanted: int) -> DataFrame:
+    """Wanted (episode, camera) rows with the content of their file; raises if a file is missing.
+
+    Missing files are found on names alone. A list of wanted files of known, small length goes
+    to the readers, so that video bytes stay where they are read; a longer one is shuffled.
+    """
+    key = ["episode_index", "camera"]
+    absent = wanted.join(files.select(*key), key, "left_anti").select(*key).limit(3).collect()
+    if absent:
+        raise FileNotFoundError(f"Episodes without a video, such as {[tuple(r) for r in absent]}.")
+    skipped = F.coalesce("frame_offset", F.lit(0)) if "frame_offset" in files.columns else F.lit(0)
+    listed = F.broadcast(wanted) if n_wanted <= BROADCAST_VIDEOS else wanted
+    return files.join(listed, key).withColumn("expected", F.col("ep_len") + skipped)
+
+
+def frame_size(shapes: Mapping[str, tuple[int, ...]], cameras: Sequence[str], image_size: int | None) -> int:
+    """Bytes of the largest stored frame."""
+    sizes = [(image_size or h or 1, image_size or w or 1, c or 3) for h, w, c in (shapes[k] for k in cameras)]
+    return max(h * w * c for h, w, c in sizes)
+
+
+def attach_by_block(spark: SparkSession, rows: DataFrame, frames: DataFrame, bits: int) -> DataFrame:
     """Join rows and frames in the layout of the store, so that pixels are shuffled once.
 
     Both sides are spread by (split, camera, block of rows), which is also how the writer lays
@@ -132,7 +151,7 @@ def attach_by_block(spark: SparkSession, rows: DataFrame, frames: DataFrame) ->
     """
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     keys = ["split", "camera"]
-    block = F.shiftright("row", FILE_BITS).alias("block")
+    block = F.shiftright("row", bits).alias("block")
     left = rows.select("*", block).repartition(*keys, "block")
     right = frames.select(*keys, "row", "pixels", block).repartition(*keys, "block")
     return attach_frames(left, right, [*keys, "block"])

@@ -16,8 +16,14 @@ from episodica.functions.names import camera_slug, match_camera
 
 # Parquet codec per option; lz4_raw stands for the fast codec, which Parquet does not have.
 CODECS = {"none": "none", "lzf": "lz4_raw", "gzip": "gzip"}
-# Rows per file block: a file holds whole blocks, so that a slice touches few files.
-FILE_BITS = 16
+# Pixels per block of consecutive rows. Files hold whole blocks, so a slice touches few files,
+# and a block fits one task whatever the size of a frame.
+BLOCK_BYTES = 1 << 28
+
+
+def block_bits(frame_bytes: int) -> int:
+    """Rows per block as a power of two, from the size of one frame: 64 to 65,536 rows."""
+    return min(max((BLOCK_BYTES // max(frame_bytes, 1)).bit_length() - 1, 6), 16)
 
 
 def check_compression(compression: str) -> str:
@@ -106,10 +112,12 @@ def write_store(
     root: str,
     mode: str = "error",
     compression: str = "lzf",
+    frame_bytes: int = 0,
 ) -> None:
     """Write the stores named in ``attributes``; other stores below the root stay as they are.
 
-    mode ``error`` raises if one of them exists; ``overwrite`` replaces exactly these.
+    mode ``error`` raises if one of them exists; ``overwrite`` replaces exactly these. Rows that
+    have a ``block`` column are taken as spread by it already, as after ``attach_by_block``.
     """
     codec = check_compression(compression)
     if mode not in ("error", "overwrite"):
@@ -121,12 +129,10 @@ def write_store(
         if clash:
             raise FileExistsError(f"Stores exist below {root}, such as {clash}; use mode='overwrite'.")
 
-    block = F.shiftright("row", FILE_BITS)
-    laid_out = (
-        rows.select(*K.STORE_SCHEMA.names)
-        .repartition("split", "camera", block)
-        .sortWithinPartitions("split", "camera", "row")
-    )
+    if "block" not in rows.columns:
+        rows = rows.withColumn("block", F.shiftright("row", block_bits(frame_bytes)))
+        rows = rows.repartition("split", "camera", "block")
+    laid_out = rows.sortWithinPartitions("split", "camera", "block", "row").select(*K.STORE_SCHEMA.names)
     for df, name, keys in (
         (laid_out, "steps", ["split", "camera"]),
         (episode_table.select(*K.EPISODE_TABLE_SCHEMA.names), "episodes", ["split"]),
