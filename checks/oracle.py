@@ -443,6 +443,22 @@ from customer join nation on c_nationkey = n_nationkey""",
 select p.split, camera, p."row", p.ep as episode_idx, p.frame_index as step_idx, p.done, p."index", p.ep % 3 as task_index,
   cast(p.size as double) as state_0, rpad('turn ' || (p."row" - i.ep_offset) || ' of ' || i.ep, 64, '.') as frame
 from placed p join conv_index i on p.split = i.split and p."row" >= i.ep_offset and p."row" < i.ep_offset + i.ep_len, cameras""",
+    "s10_conversion_report": f"""with {CONVERTED}, {issues('conv_steps', split='split')},
+asked as (select distinct split, ep from steps join splits on ep >= lo and ep < hi)
+select a.split, a.ep as episode_index, m.issues is null as valid, m.issues is null as kept, coalesce(m.issues, '') as issues
+from asked a left join (select split, episode_index, string_agg(message, '; ' order by run_start, seq) as issues
+  from issues group by 1, 2) m on m.split = a.split and m.episode_index = a.ep""",
+    "s11_store_report": f"with {BAD_STORE}, {validate('bad_store', 'bad_index')} {MESSAGE_ROWS}",
+    "e3_replay": f"""with {LINE_STORE}, {LINE_INDEX}, shown as (
+  select s.* from line_store s join line_index i
+    on s.split = i.split and s."row" >= i.ep_offset and s."row" < i.ep_offset + i.ep_len
+  where s.split = 'val' and s.camera = {q(CAMERAS[1])} and i.ep_pos = 7 and (s."row" - i.ep_offset) % 2 = 0)
+select entity_path, step_idx as step, value from (
+  select *, unnest(['done', 'episode_idx', 'step_idx', 'action/dim_0', 'action/dim_1', 'state/dim_0', 'state/dim_1',
+      'state/dim_2', 'state/dim_3']) as name,
+    unnest([cast(cast(done as integer) as double), episode_idx, step_idx, quantity, discount, quantity, price, discount, tax]) as value,
+    'signals/' || name as entity_path
+  from shown)""",
     "e2_convert_warn_validate": f"""with {CONVERTED}, {converted("")}, conv_store as (
   select split, camera, "row", ep as episode_idx, frame_index as step_idx, done, false as no_action, 1 as channels
   from placed, cameras), {validate('conv_store', 'conv_index')} {MESSAGE_ROWS}""",

@@ -13,7 +13,9 @@ from checks import views as X
 from episodica.functions import names, scalars
 from episodica.operators import episodes, frames, quality, signals, slices, splits, store_checks, summary
 from episodica.operators.ordering import materialised, row_position
+from episodica.plans.check import check_stores
 from episodica.plans.convert import attributes, convert
+from episodica.plans.replay import replay
 from episodica.sources import steps as source
 from episodica.sources import store
 
@@ -625,6 +627,39 @@ def validate_converted(spark, sf_dir):
     return longs(found, "check")
 
 
+def conversion_report(spark, sf_dir):
+    """Lines of the report of a conversion: every requested episode with its messages."""
+    out = f"{X.scratch(spark)}/store"
+    convert(
+        spark, _conv_root(spark, sf_dir), out, "tables/conversations", DECODERS,
+        policy="drop", videos=conv_videos(spark, sf_dir), report=f"{out}-report",
+    )
+    lines = spark.read.schema("episode_index long, valid boolean, kept boolean, part long, issues array<string>, split string")
+    return lines.json(f"{out}-report/episodes").select(
+        "split", "episode_index", "valid", "kept", F.array_join(F.coalesce("issues", F.array()), "; ").alias("issues")
+    )
+
+
+def store_report(spark, sf_dir):
+    """Lines of the report of a validation over a broken store on disk."""
+    root = f"{X.scratch(spark)}/store"
+    bounds = X.bounds(spark, sf_dir)
+    store.write_store(
+        X.bad_store(spark, sf_dir),
+        X.bad_index(spark, sf_dir),
+        attributes(spark, "tables/lineitem", 10, [b[0] for b in bounds], X.CAMERAS),
+        root,
+    )
+    check_stores(spark, root, report=f"{root}-report", fail_on_error=False)
+    lines = spark.read.schema("ep_pos long, check long, message string, split string, camera string")
+    return lines.json(f"{root}-report/details")
+
+
+def replayed_episode(spark, sf_dir):
+    """Every second step of one episode of a store on disk."""
+    return replay(spark, written(spark, sf_dir), "val", X.CAMERAS[1], ep_pos=7, stride=2).signals
+
+
 QUERIES = {
     "q1_source_issues_conversations": _issues(X.conv_steps),
     "q1_source_issues_lines": _issues(X.line_steps),
@@ -693,4 +728,7 @@ QUERIES = {
     "f9_to_double": to_double,
     "e1_convert_drop": convert_conversations,
     "e2_convert_warn_validate": validate_converted,
+    "s10_conversion_report": conversion_report,
+    "s11_store_report": store_report,
+    "e3_replay": replayed_episode,
 }

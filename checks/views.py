@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder for a derived dataset: below the shared folder of the cluster if one is named."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         return tempfile.mkdtemp(prefix="episodica-derived-")
     return f"{shared.rstrip('/')}/derived/{spark.sparkContext.applicationId}/{spark.range(1).select(F.uuid()).first()[0]}"

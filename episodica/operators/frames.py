@@ -65,14 +65,14 @@ def _axis_weights(size: int, target: int) -> tuple[np.ndarray, np.ndarray, np.nd
     centre = np.clip(centre, 0, size - 1)
     left = np.minimum(np.floor(centre).astype(np.int64), size - 1)
     right = np.minimum(left + 1, size - 1)
-    return left, right, np.rint((centre - left) * 2048).astype(np.int64)
+    return left, right, np.rint((centre - left) * 2048).astype(np.int32)
 
 
 def resize_frame(frame: np.ndarray, size: int) -> np.ndarray:
     """Bilinear resize of a uint8 frame to size x size, in fixed point with 11-bit weights."""
     top, bottom, wy = _axis_weights(frame.shape[0], size)
     left, right, wx = _axis_weights(frame.shape[1], size)
-    wide = frame.astype(np.int64)
+    wide = frame.astype(np.int32)  # the largest product is 2048 * (255 * 2048 >> 4) < 2^31
     rows = wide[:, left] * (2048 - wx)[:, None] + wide[:, right] * wx[:, None]
     wy = wy[:, None, None]
     out = (((2048 - wy) * (rows[top] >> 4)) >> 16) + ((wy * (rows[bottom] >> 4)) >> 16)

@@ -26,7 +26,7 @@ def materialised(df: DataFrame) -> tuple[DataFrame, int]:
     """Write ``df`` to the cluster's checkpoint folder; return it with its row count."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None and not sc.master.startswith("local"):
             raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="episodica-"))

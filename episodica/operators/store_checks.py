@@ -146,8 +146,8 @@ def validate(
     if not rank_one:
         return _messages(stores, [*_row_checks(rows), (5, F.lit(True), F.lit(K.INDEX_RANK))])
 
-    index, _ = materialised(index_totals(episode_table, bits))
-    whole = stores.join(_per_store(index, n_stores), "split", "left").na.fill(0, ["n_len", "n_offset", "sum_len"])
+    index, n_splits = materialised(index_totals(episode_table, bits))
+    whole = stores.join(_per_store(index, n_splits), "split", "left").na.fill(0, ["n_len", "n_offset", "sum_len"])
     store_wide = _messages(whole, [*_row_checks(rows), *_index_checks()])
 
     slices = (

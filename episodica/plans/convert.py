@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,14 +98,15 @@ def convert(
     files = read_videos(spark, root) if videos is None else videos
     located = locate(fan_out(table.where("ep_len > 0"), cameras), files, n_episodes * len(cameras))
     frames = frame_rows(decode(located, decoders, image_size, expected="expected", fail_short=True, batch=batch))
-    write_store(
-        attach_by_block(spark, rows, frames, block_bits(frame_size(info.cameras, cameras, image_size))),
-        table,
-        attributes(spark, repo_id, info.fps, [b[0] for b in bounds], cameras),
-        out,
-        "overwrite" if overwrite else "error",
-        compression,
-    )
+    with laid_out_joins(spark):
+        write_store(
+            attach_by_block(rows, frames, block_bits(frame_size(info.cameras, cameras, image_size))),
+            table,
+            attributes(spark, repo_id, info.fps, [b[0] for b in bounds], cameras),
+            out,
+            "overwrite" if overwrite else "error",
+            compression,
+        )
     write_report("ok")
     return summary
 
@@ -143,13 +145,25 @@ def frame_size(shapes: Mapping[str, tuple[int, ...]], cameras: Sequence[str], im
     return max(h * w * c for h, w, c in sizes)
 
 
-def attach_by_block(spark: SparkSession, rows: DataFrame, frames: DataFrame, bits: int) -> DataFrame:
+@contextmanager
+def laid_out_joins(spark: SparkSession) -> Iterator[None]:
+    """Let a join use sides that are spread by some of its keys; the setting is put back after."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def attach_by_block(rows: DataFrame, frames: DataFrame, bits: int) -> DataFrame:
     """Join rows and frames in the layout of the store, so that pixels are shuffled once.
 
     Both sides are spread by (split, camera, block of rows), which is also how the writer lays
     out its files; a block has a fixed number of rows, so no episode or store is a hot spot.
+    Run it inside ``laid_out_joins``.
     """
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     keys = ["split", "camera"]
     block = F.shiftright("row", bits).alias("block")
     left = rows.select("*", block).repartition(*keys, "block")
