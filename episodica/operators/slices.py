@@ -1,10 +1,14 @@
-"""Rows and the slices [ep_offset, ep_offset + ep_len) that hold them."""
+"""Rows and the slices [ep_offset, ep_offset + ep_len) that hold them.
+
+``assign_slices`` gives the pairs. ``summarise_slices`` gives one row per slice without forming
+pairs: rows are folded into units of growing size, and a slice is made up of few units.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows per block, as a power of two: near the length of an episode, so that a slice covers few
@@ -12,6 +16,9 @@ from pyspark.sql import functions as F
 BLOCK_BITS = 6
 # Blocks that one row of the slice table may expand to in one task.
 SPREAD_BITS = 20
+# Unit sizes as powers of two. A slice takes at most 126 units of the first size, 510 of each of
+# the next two, and one of the last per four million rows, however long it is.
+UNIT_BITS = (0, 6, 14, 22)
 
 
 def assign_slices(
@@ -53,3 +60,90 @@ def assign_slices(
         .where((F.col("row") >= F.col("lo")) & (F.col("row") < F.col("hi")))
         .drop("block", "lo", "hi")
     )
+
+
+def slice_units(slices: DataFrame, bits: Sequence[int] = UNIT_BITS) -> DataFrame:
+    """Each slice cut into whole units: its columns, level and unit. Columns lo and hi bound it."""
+
+    def span(start: Column, stop: Column) -> Column:
+        empty = F.array().cast("array<bigint>")
+        return F.when(start < stop, F.sequence(start, F.greatest(start, stop - 1))).otherwise(empty)
+
+    def inside(level: int) -> tuple[Column, Column]:
+        last = F.lit((1 << bits[level]) - 1)
+        return F.shiftright(F.col("lo") + last, bits[level]), F.shiftright(F.col("hi"), bits[level])
+
+    def labelled(units: Column, level: int) -> Column:
+        return F.transform(units, lambda unit: F.struct(F.lit(level).alias("level"), unit.alias("unit")))
+
+    pieces = []
+    for level in range(len(bits)):
+        first, stop = inside(level)
+        units = span(first, stop)
+        if level + 1 < len(bits):
+            step = bits[level + 1] - bits[level]
+            up_first, up_stop = inside(level + 1)
+            edges = F.concat(span(first, F.shiftleft(up_first, step)), span(F.shiftleft(up_stop, step), stop))
+            units = F.when(up_first < up_stop, edges).otherwise(units)
+        pieces.append(labelled(units, level))
+    return slices.select("*", F.inline(F.concat(*pieces)))
+
+
+def unit_summaries(rows: DataFrame, keys: Sequence[str], bits: Sequence[int] = UNIT_BITS) -> DataFrame:
+    """Rows folded into units of every level: what the slice checks need to know of them."""
+    done = F.coalesce(F.col("done"), F.lit(False))
+    lead = F.col("step_idx") - F.col("row")
+    level = rows.select(
+        *keys,
+        F.lit(0).alias("level"),
+        F.col("row").alias("unit"),
+        F.lit(1).cast("long").alias("n"),
+        lead.alias("min_lead"),
+        lead.alias("max_lead"),
+        F.col("episode_idx").alias("min_ep"),
+        F.col("episode_idx").alias("max_ep"),
+        done.cast("long").alias("n_done"),
+        done.alias("ends_done"),
+    )
+    out = level
+    for k in range(1, len(bits)):
+        step = bits[k] - bits[k - 1]
+        closes = (F.col("unit") + 1) % (1 << step) == 0
+        level = level.groupBy(*keys, F.shiftright("unit", step).alias("unit")).agg(
+            F.sum("n").alias("n"),
+            F.min("min_lead").alias("min_lead"),
+            F.max("max_lead").alias("max_lead"),
+            F.min("min_ep").alias("min_ep"),
+            F.max("max_ep").alias("max_ep"),
+            F.sum("n_done").alias("n_done"),
+            F.bool_or(closes & F.col("ends_done")).alias("ends_done"),
+        ).withColumn("level", F.lit(k))
+        out = out.unionByName(level)
+    return out
+
+
+def summarise_slices(
+    rows: DataFrame, slices: DataFrame, keys: Sequence[str] = ("split", "camera"), bits: Sequence[int] = UNIT_BITS
+) -> DataFrame:
+    """Per slice with rows: keys, ep_pos, found, bad_steps, mixed, ends_done, early_done.
+
+    ``slices`` lie inside the rows and are not empty. Overlaps cost no more than gaps.
+    """
+    keys = list(keys)
+    bounds = {"lo": F.col("ep_offset"), "hi": F.col("ep_offset") + F.col("ep_len")}
+    units = slice_units(slices.select(*keys, "ep_pos", "ep_offset", "ep_len").withColumns(bounds), bits)
+    size = F.element_at(F.array(*[F.lit(1 << b).cast("long") for b in bits]), F.col("level") + 1)
+    closes = (F.col("unit") + 1) * size == F.col("hi")
+    ends_done = F.coalesce(F.bool_or(closes & F.col("ends_done")), F.lit(False))
+    return (
+        unit_summaries(rows, keys, bits)
+        .join(units, [*keys, "level", "unit"])
+        .groupBy(*keys, "ep_pos")
+        .agg(
+            F.sum("n").alias("found"),
+            F.bool_or((F.col("min_lead") != -F.col("lo")) | (F.col("max_lead") != -F.col("lo"))).alias("bad_steps"),
+            (F.min("min_ep") != F.max("max_ep")).alias("mixed"),
+            ends_done.alias("ends_done"),
+            (F.sum("n_done") > ends_done.cast("long")).alias("early_done"),
+        )
+    )

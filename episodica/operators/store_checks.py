@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from episodica.functions import fixed as K
 from episodica.operators.ordering import RANGE_BITS, materialised, scan
-from episodica.operators.slices import assign_slices
+from episodica.operators.slices import summarise_slices
 
 STORE = ["split", "camera"]
 # Stores (split x camera) up to which the table of stores is sent to every executor.
@@ -218,19 +218,8 @@ def _index_checks() -> list[tuple[int, Column, Column]]:
 
 def slice_messages(rows: DataFrame, slices: DataFrame, strict_done: bool = True) -> DataFrame:
     """Messages about single slices; ``slices`` has one row per store and slice, with n_rows."""
-    at = F.col("row") - F.col("ep_offset")
-    done = F.coalesce(F.col("done"), F.lit(False))
-    seen = (
-        assign_slices(rows.select(*STORE, "row", "step_idx", "episode_idx", "done"), _in_bounds(slices), "n_rows", STORE)
-        .groupBy(*STORE, "ep_pos")
-        .agg(
-            F.count(F.lit(1)).alias("found"),
-            F.bool_or(F.col("step_idx") != at).alias("bad_steps"),
-            (F.min("episode_idx") != F.max("episode_idx")).alias("mixed"),
-            F.bool_or(done & (at == F.col("ep_len") - 1)).alias("ends_done"),
-            F.bool_or(done & (at < F.col("ep_len") - 1)).alias("early_done"),
-        )
-    )
+    narrow = rows.select(*STORE, "row", "step_idx", "episode_idx", "done")
+    seen = summarise_slices(narrow, slices.where(_fits() & (F.col("ep_len") > 0)), STORE)
     end = F.col("ep_offset") + F.col("ep_len")
     # A negative length selects rows as a Python slice does: an end below 0 counts from the back.
     stop = F.when(end < 0, F.greatest(end + F.col("n_rows"), F.lit(0))).otherwise(end)
@@ -263,10 +252,6 @@ def _fits() -> Column:
     return (F.col("ep_offset") >= 0) & (F.col("ep_offset") + F.col("ep_len") <= F.col("n_rows"))
 
 
-def _in_bounds(slices: DataFrame) -> DataFrame:
-    return slices.where(_fits() & (F.col("ep_len") > 0))
-
-
 def _messages(table: DataFrame, checks: list[tuple[int, Column, Column]], ep_pos: Column | None = None) -> DataFrame:
     hits = F.array_compact(
         F.array(*[F.when(bad, F.struct(F.lit(n).alias("check"), text.alias("message"))) for n, bad, text in checks])

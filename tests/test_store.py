@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from episodica.functions import fixed as K
 from episodica.operators import store_checks as V
-from episodica.operators.slices import assign_slices
+from episodica.operators.slices import assign_slices, slice_units
 from episodica.plans.convert import attributes
 from episodica.sources import store
 
@@ -105,6 +105,30 @@ def test_slices_equal_a_plain_range_join(spark, block_bits):
     assert sorted(map(tuple, got)) == [(i, r) for _, i, o, n in data for r in range(500) if o <= r < o + n]
 
 
+@pytest.mark.parametrize("bits", [(0, 1, 2, 3), (0, 2, 5), (0, 6, 14, 22)])
+def test_units_tile_every_slice(spark, bits):
+    rng = random.Random(7)
+    data = [(i, lo, lo + rng.choice([1, 2, 9, 64, 65, 700, 40000])) for i, lo in enumerate(rng.randrange(0, 90000) for _ in range(60))]
+    got = {}
+    for r in slice_units(spark.createDataFrame(data, "ep_pos long, lo long, hi long"), bits).collect():
+        got.setdefault(r.ep_pos, []).append((r.unit << bits[r.level], (r.unit + 1) << bits[r.level]))
+    for i, lo, hi in data:
+        at = lo
+        for start, stop in sorted(got[i]):
+            assert start == at
+            at = stop
+        assert at == hi
+    if len(bits) == 4 and bits[1] == 6:
+        assert max(map(len, got.values())) <= 126 + 510
+
+
+def test_overlapping_slices_over_all_rows(spark):
+    steps = [(0, k, k == 299) for k in range(300)]
+    lengths, offsets = [300] * 40, [0] * 40
+    found = V.validate(rows_of(spark, steps, shape=(1, 1, 1)), table_of(spark, lengths, offsets))
+    assert messages(found) == store_issues_of(300, lengths, offsets)
+
+
 def test_inspect(spark):
     rows, table = rows_of(spark, four_rows([0, 1, 0, 1])), table_of(spark, [2, 2], [0, 2])
     assert tuple(V.inspect(rows, table).first())[2:] == (2, 4)
