@@ -129,7 +129,7 @@ def issues(view: str, terminal: bool = True, split: str = "") -> str:
     if terminal:
         parts.append(f"{which}, 3, {q(K.NOT_TERMINATED)} from runs where not last_done")
     parts.append(
-        f"{which}, {4 if terminal else 3}, {q(K.EARLY_DONE)} from runs"
+        f"{which}, 4, {q(K.EARLY_DONE)} from runs"
         " where n_done > case when last_done then 1 else 0 end"
     )
     body = " union all ".join(parts)

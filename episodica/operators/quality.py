@@ -134,26 +134,18 @@ def source_issues(
     Messages of an episode are ordered by (run_start, seq). Clean episodes yield no row.
     """
     early = F.col("n_done") > F.when(F.col("last_done"), 1).otherwise(0)
-    checks = [(F.col("again"), F.lit(K.NOT_CONTIGUOUS))]
+    checks = [(0, F.col("again"), F.lit(K.NOT_CONTIGUOUS))]
     if require_contiguous_steps:
-        checks.append((F.col("first_step") != 0, F.format_string(K.STARTS_AT, F.col("first_step"))))
-        checks.append((F.col("step_gap"), F.lit(K.STEP_GAP)))
+        checks.append((1, F.col("first_step") != 0, F.format_string(K.STARTS_AT, F.col("first_step"))))
+        checks.append((2, F.col("step_gap"), F.lit(K.STEP_GAP)))
     if require_terminal_done:
-        checks.append((~F.col("last_done"), F.lit(K.NOT_TERMINATED)))
+        checks.append((3, ~F.col("last_done"), F.lit(K.NOT_TERMINATED)))
     if require_no_early_done:
-        checks.append((early, F.lit(K.EARLY_DONE)))
-    found = F.array_compact(
-        F.array(
-            *[
-                F.when(bad, F.struct(F.lit(seq).alias("seq"), text.alias("message")))
-                for seq, (bad, text) in enumerate(checks)
-            ]
-        )
-    )
+        checks.append((4, early, F.lit(K.EARLY_DONE)))
+    cells = [F.when(bad, F.struct(F.lit(seq).alias("seq"), text.alias("message"))) for seq, bad, text in checks]
     return (
         runs(steps, group, order, bits, one_window)
-        .select(*group, "episode_index", "run_start", F.explode(found).alias("m"))
-        .select(*group, "episode_index", "run_start", "m.seq", "m.message")
+        .select(*group, "episode_index", "run_start", F.inline(F.array_compact(F.array(*cells))))
     )
 
 

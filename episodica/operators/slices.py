@@ -90,36 +90,52 @@ def slice_units(slices: DataFrame, bits: Sequence[int] = UNIT_BITS) -> DataFrame
 
 
 def unit_summaries(rows: DataFrame, keys: Sequence[str], bits: Sequence[int] = UNIT_BITS) -> DataFrame:
-    """Rows folded into units of every level: what the slice checks need to know of them."""
-    done = F.coalesce(F.col("done"), F.lit(False))
-    lead = F.col("step_idx") - F.col("row")
-    level = rows.select(
+    """Rows, and rows folded into units of every level: what the slice checks need to know of them.
+
+    Units of all levels are folded in one pass, before the shuffle.
+    """
+    narrow = rows.select(
+        *keys,
+        "row",
+        (F.col("step_idx") - F.col("row")).alias("lead"),
+        F.col("episode_idx").alias("ep"),
+        F.coalesce(F.col("done"), F.lit(False)).alias("done"),
+    )
+    single = narrow.select(
         *keys,
         F.lit(0).alias("level"),
         F.col("row").alias("unit"),
         F.lit(1).cast("long").alias("n"),
-        lead.alias("min_lead"),
-        lead.alias("max_lead"),
-        F.col("episode_idx").alias("min_ep"),
-        F.col("episode_idx").alias("max_ep"),
-        done.cast("long").alias("n_done"),
-        done.alias("ends_done"),
+        F.col("lead").alias("min_lead"),
+        F.col("lead").alias("max_lead"),
+        F.col("ep").alias("min_ep"),
+        F.col("ep").alias("max_ep"),
+        F.col("done").cast("long").alias("n_done"),
+        F.col("done").alias("ends_done"),
+    )
+    holders = [
+        F.struct(
+            F.lit(k).alias("level"),
+            F.shiftright("row", b).alias("unit"),
+            ((F.col("row") + 1) % (1 << b) == 0).alias("closes"),
+        )
+        for k, b in enumerate(bits)
+        if k > 0
+    ]
+    folded = (
+        narrow.select("*", F.inline(F.array(*holders)))
+        .groupBy(*keys, "level", "unit")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("lead").alias("min_lead"),
+            F.max("lead").alias("max_lead"),
+            F.min("ep").alias("min_ep"),
+            F.max("ep").alias("max_ep"),
+            F.count_if("done").alias("n_done"),
+            F.bool_or(F.col("closes") & F.col("done")).alias("ends_done"),
+        )
     )
-    out = level
-    for k in range(1, len(bits)):
-        step = bits[k] - bits[k - 1]
-        closes = (F.col("unit") + 1) % (1 << step) == 0
-        level = level.groupBy(*keys, F.shiftright("unit", step).alias("unit")).agg(
-            F.sum("n").alias("n"),
-            F.min("min_lead").alias("min_lead"),
-            F.max("max_lead").alias("max_lead"),
-            F.min("min_ep").alias("min_ep"),
-            F.max("max_ep").alias("max_ep"),
-            F.sum("n_done").alias("n_done"),
-            F.bool_or(closes & F.col("ends_done")).alias("ends_done"),
-        ).withColumn("level", F.lit(k))
-        out = out.unionByName(level)
-    return out
+    return single.unionByName(folded)
 
 
 def summarise_slices(

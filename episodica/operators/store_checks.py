@@ -286,3 +286,13 @@ def check_replay_columns(rows: DataFrame, episode_table: DataFrame) -> None:
     for c in K.EPISODE_COLUMNS:
         if not isinstance(episode_table.schema[c].dataType, T.IntegralType):
             raise ValueError(K.INDEX_RANK)
+
+
+def check_replay_rows(rows: DataFrame) -> None:
+    """Value checks on the rows of a replay: nothing missing, 1 or 3 channels."""
+    gap = F.col("pixels.channels").isNull() | F.col("action").isNull() | F.col("state").isNull()
+    if not rows.where(gap).isEmpty():
+        raise ValueError("Per-step columns have different numbers of values.")
+    odd = rows.where(~F.col("pixels.channels").isin(1, 3)).select("pixels.channels").first()
+    if odd is not None:
+        raise ValueError(K.PIXELS_CHANNELS % odd.channels)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from episodica.functions.names import camera_slug, export_name, store_name
 from episodica.operators import signals as S
-from episodica.operators.store_checks import check_replay_columns
+from episodica.operators.store_checks import check_replay_columns, check_replay_rows
 from episodica.sources import store
 
 
@@ -46,7 +46,9 @@ def replay(
     check_replay_columns(rows, table)
     offset, length = store.episode_bounds(table, of_split, ep_pos)
     first, last, step = S.resolve_window(length, start, end, stride)
-    shown = S.step_window(store.select_episode(rows, of_split, of_camera, offset, length), first, last, step)
+    episode = store.select_episode(rows, of_split, of_camera, offset, length)
+    check_replay_rows(episode)
+    shown = S.step_window(episode, first, last, step)
 
     attributes = store.read_attributes(spark, root).where((F.col("split") == of_split) & (F.col("camera") == of_camera))
     stem = store_name(F.lit(of_split), F.lit(of_camera))

@@ -71,6 +71,7 @@ def test_sources(spark, converted):
     few = source.read_steps(spark, root, ["episode_index"], episodes=(1, 3))
     assert few.count() == 6 and few.columns == ["episode_index"]
     assert source.read_steps(spark, root, episodes=[0, 4]).count() == 6
+    assert source.read_steps(spark, root, episodes=[0, 4, *range(100, 2000)]).count() == 6
     videos = source.read_videos(spark, root)
     assert {(r.episode_index, r.camera) for r in videos.select("episode_index", "camera").collect()} == {
         (e, c) for e in range(5) for c in CAMERAS

@@ -221,3 +221,8 @@ def test_replay_columns(spark):
         V.check_replay_columns(rows.select("pixels"), table)
     with pytest.raises(ValueError):
         V.check_replay_columns(rows.withColumn("pixels", F.lit("x")), table)
+    V.check_replay_rows(rows)
+    with pytest.raises(ValueError, match="numbers of values"):
+        V.check_replay_rows(rows.withColumn("state", F.when(F.col("row") > 1, F.col("state"))))
+    with pytest.raises(ValueError, match="got 2"):
+        V.check_replay_rows(rows_of(spark, four_rows([0, 1, 0, 1]), shape=(1, 1, 2)))
