@@ -16,7 +16,7 @@ def spark():
     session = (
         SparkSession.builder.master("local[*]")
         .appName("episodica-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
