@@ -39,12 +39,13 @@ def _recipe(base: DataFrame, *extra: str) -> DataFrame:
 
 
 def conv_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    of_conv = Window.partitionBy("conv_id")
-    return table(spark, sf_dir, "conversations").select(
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    final = turns.groupBy("conv_id").agg(F.max("turn").alias("final"))
+    return turns.join(final, "conv_id").select(
         F.col("conv_id").alias("ep"),
         F.col("turn").alias("step0"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("ord"),
-        (F.col("turn") == F.max("turn").over(of_conv)).alias("is_last"),
+        (F.col("turn") == F.col("final")).alias("is_last"),
         F.col("text").alias("said"),
     )
 
@@ -73,10 +74,10 @@ def line_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    of_user = Window.partitionBy("user_id").orderBy("event_id")
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
+    return row_position(events, order="event_id", group=["user_id"], name="frame_index").select(
         F.col("user_id").alias("episode_index"),
-        (F.row_number().over(of_user) - 1).cast("long").alias("frame_index"),
+        "frame_index",
         (F.col("event_type") == "purchase").alias("done"),
         F.col("event_id").alias("index"),
     )
@@ -155,11 +156,11 @@ def bad_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bad_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``line_index`` with broken lengths and offsets, see FIXTURES.md."""
-    last = Window.partitionBy("split")
+    index = line_index(spark, sf_dir)
+    final = index.groupBy("split").agg(F.max("ep_pos").alias("final"))
     pos = F.col("ep_pos")
     return (
-        line_index(spark, sf_dir)
-        .withColumn("final", F.max("ep_pos").over(last))
+        index.join(final, "split")
         .select(
             "split",
             "ep_pos",
