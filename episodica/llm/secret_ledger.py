@@ -129,6 +129,10 @@ def _mask(text: str, spans: list[dict]) -> str:
     return "".join([*out, text[at:]])
 
 
+def _of_kind(kind: str):
+    return lambda s: s.kind == kind
+
+
 def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ledger = shared_folder(spark, "ledger")
@@ -138,7 +142,7 @@ def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("found_spans", lambda s: s.kind.isin(*BASE))
     return spans.select(
         "doc_id",
-        *[F.size(F.filter("found_spans", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in BASE],
+        *[F.size(F.filter("found_spans", _of_kind(k))).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(line(base), 256).alias("base_sha256"),
         line(F.col("found_spans")).alias("spans"),
     )
