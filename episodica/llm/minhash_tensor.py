@@ -8,8 +8,8 @@ rows = 2 that is 2 * 0.36 ** 12, about one in 100,000 pairs.
 1. Documents with equal shingle sets are one class; only its smallest id goes on.
 2. A sub-key value that only one class has can't be part of a shared table: pairs are formed from
    the rest, which is what shares at least one sub-key with another class.
-3. In every table bucket the members are compared with one member (a different one in different
-   tables), never all with all; links are confirmed on full sets and give components.
+3. In every table bucket the members are compared with one member (the one whose sub-keys most
+   others have), never all with all; links are confirmed on full sets and give components.
 4. In a bucket that still holds several components, every member outside the largest is compared
    with the members of the other components, as far as both have a rare shingle in common that an
    alike pair must share (an exact bound). So no link between classes that share a bucket is lost
@@ -83,17 +83,21 @@ def prepare(docs: DataFrame, width: int = SHINGLE, m: int = M, rows: int = ROWS)
 
 
 def table_keys(classes: DataFrame, m: int = M) -> DataFrame:
-    """(id, n, key) for every table bucket that a class may share: both sub-keys occur in other classes too."""
+    """(id, n, weight, key) for every table bucket that a class may share: both sub-keys occur in other classes too.
+
+    ``weight`` says how often others have the class's sub-keys: the original of many altered copies has the largest.
+    """
     subs = classes.select("id", "n", F.posexplode("sub_keys").alias("at", "value"))
-    common = subs.groupBy("at", "value").agg(F.count(F.lit(1)).alias("users")).where("users > 1").drop("users")
+    common = subs.groupBy("at", "value").agg(F.count(F.lit(1)).alias("users")).where("users > 1")
     shared = subs.join(common, ["at", "value"])
     sides = shared.groupBy("id", "n").agg(
+        F.sum("users").alias("weight"),
         F.collect_list(F.when(F.col("at") < m, F.struct("at", "value"))).alias("left"),
         F.collect_list(F.when(F.col("at") >= m, F.struct("at", "value"))).alias("right"),
     )
-    one = sides.select("id", "n", F.explode("left").alias("x"), "right")
-    return one.select("id", "n", "x", F.explode("right").alias("y")).select(
-        "id", "n", F.xxhash64("x.at", "x.value", "y.at", "y.value").alias("key")
+    one = sides.select("id", "n", "weight", F.explode("left").alias("x"), "right")
+    return one.select("id", "n", "weight", "x", F.explode("right").alias("y")).select(
+        "id", "n", "weight", F.xxhash64("x.at", "x.value", "y.at", "y.value").alias("key")
     )
 
 
@@ -102,10 +106,9 @@ def _alike(n: str, other: str, percent: int):
 
 
 def star_pairs(keys: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of each member of a bucket with that bucket's own centre, if their sizes allow a link."""
-    rank = F.xxhash64("id", F.pmod("key", F.lit(2)))
+    """Distinct pairs of each member of a bucket with its member of largest weight, if their sizes allow a link."""
     centres = keys.groupBy("key").agg(
-        F.min(F.struct(rank.alias("rank"), F.col("id").alias("c"), F.col("n").alias("c_n"))).alias("centre"), F.count(F.lit(1)).alias("size")
+        F.min(F.struct((-F.col("weight")).alias("rank"), F.col("id").alias("c"), F.col("n").alias("c_n"))).alias("centre"), F.count(F.lit(1)).alias("size")
     ).where("size > 1").select("key", "centre.c", "centre.c_n")
     met = keys.join(centres, "key").where((F.col("id") != F.col("c")) & _alike("n", "c_n", percent))
     return met.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
@@ -155,8 +158,9 @@ def cross_pairs(keys: DataFrame, found: DataFrame, texts: DataFrame, percent: in
     members = stored(mixed_members(keys, found), "members")
     rare = stored(rare_shingles(members, texts, percent, width), "rare")
     minor = rare.where("minor").select("shingle", F.col("id").alias("id_"), F.col("n").alias("n_"), F.col("component").alias("component_"), F.col("rest").alias("rest_"))
+    once = ~F.col("minor") | (F.col("id") < F.col("id_"))
     enough = (100 + percent) * F.least("rest", "rest_") >= percent * (F.col("n") + F.col("n_"))
-    met = rare.join(minor, "shingle").where((F.col("component") != F.col("component_")) & _alike("n", "n_", percent) & enough)
+    met = rare.join(minor, "shingle").where((F.col("component") != F.col("component_")) & once & _alike("n", "n_", percent) & enough)
     return met.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct()
 
 
