@@ -2,8 +2,30 @@
 
 from __future__ import annotations
 
-from episodica.llm import byte_bpe, minhash_tensor, qgram_decontam, quality_gam, secret_ledger
+from episodica.llm import (
+    byte_bpe,
+    chained_passages,
+    host_consensus,
+    imatch,
+    minhash_tensor,
+    minimax_shards,
+    pii_candidates,
+    qgram_decontam,
+    quality_gam,
+    secret_ledger,
+)
 
-MODULES = (minhash_tensor, quality_gam, byte_bpe, qgram_decontam, secret_ledger)
+MODULES = (
+    imatch,
+    secret_ledger,
+    host_consensus,
+    pii_candidates,
+    qgram_decontam,
+    minimax_shards,
+    byte_bpe,
+    quality_gam,
+    chained_passages,
+    minhash_tensor,
+)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
