@@ -150,7 +150,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     )
     ids = rows.select("at")
     n = max(1, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = sorted({float(x) for x in ids.select(F.col("at").cast("double")).approxQuantile("at", [i / n for i in range(1, n)], 0.2 / n)})
+    cuts = sorted({0.0} | {float(x) for x in ids.select(F.col("at").cast("double")).approxQuantile("at", [i / n for i in range(1, n)], 0.2 / n)})
     ranged = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="at_double", outputCol="range")
     cut = lambda df: ranged.transform(df.withColumn("at_double", F.col("at").cast("double"))).drop("at_double")
     heads = sorted(((int(r["range"]), r.head) for r in cut(ids).groupBy("range").agg(F.max("at").alias("head")).collect()), reverse=True)
