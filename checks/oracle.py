@@ -390,8 +390,9 @@ from line_store s join per p on s.split = p.split and s.camera = p.camera and s.
     "f6_normalise_values": f"with {PIXELS} select vec_id, copy, array_to_string(b, ',') as bytes from bytes",
     "f6_normalise_pixels": f"""with {PIXELS} select vec_id, copy, cast(1 as bigint) as channels,
   array_to_string(list_transform(b, lambda x: lpad(hex(x), 2, '0')), '') as bytes from bytes""",
-    "f6_channel_first": """select vec_id, pos, cast(embedding[cast((pos % 3) * 20 + pos // 3 + 1 as bigint)] as double) as value
-from embeddings, range(0, 60) t(pos)""",
+    "f6_channel_first": f"""with {PIXELS} select vec_id, copy, pos, cast(case pos % 3 when 0 then v[pos // 3 + 1]
+  when 1 then v[64 - pos // 3] else -v[pos // 3 + 1] end as double) as value
+from pixel_rows, range(0, 192) t(pos)""",
     "f7_resize_half": f"""with {PIXELS}, small as (
   select vec_id, copy, y * 4 + x as cell,
     (b[16 * y + 2 * x + 1] + b[16 * y + 2 * x + 2] + b[16 * y + 2 * x + 9] + b[16 * y + 2 * x + 10] + 2) // 4 as v

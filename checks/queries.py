@@ -439,12 +439,12 @@ def normalise_pixels(spark, sf_dir):
 
 
 def channel_first(spark, sf_dir):
-    """Each vector as a 1 x 8 x 8 frame of three channels of 4 x 5, moved to channel-last order."""
-    rows = X.pixel_rows(spark, sf_dir).where("copy = 'unit'")
-    three = F.slice("values", 1, 60)
-    moved = frames.to_hwc(three, F.lit(4), F.lit(5), F.lit(3))
-    return rows.select("vec_id", F.posexplode(moved).alias("pos", "value")).select(
-        "vec_id", F.col("pos").cast("long").alias("pos"), F.col("value").cast("double").alias("value")
+    """A frame of three channels of 8 x 8, each vector, itself reversed and its negative, moved to channel-last order."""
+    rows = X.pixel_rows(spark, sf_dir)
+    three = F.concat("values", F.reverse("values"), F.transform("values", lambda v: -v))
+    moved = frames.to_hwc(three, F.lit(8), F.lit(8), F.lit(3))
+    return rows.select("vec_id", "copy", F.posexplode(moved).alias("pos", "value")).select(
+        "vec_id", "copy", F.col("pos").cast("long").alias("pos"), F.col("value").cast("double").alias("value")
     )
 
 

@@ -30,6 +30,8 @@ def scratch(spark: SparkSession) -> str:
     """A new folder for a derived dataset: below the shared folder of the cluster if one is named."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
         return tempfile.mkdtemp(prefix="episodica-derived-")
     return f"{shared.rstrip('/')}/derived/{spark.sparkContext.applicationId}/{spark.range(1).select(F.uuid()).first()[0]}"
 

@@ -33,7 +33,7 @@ def check_stores(
     rows = read_store(spark, root).join(stores, listed, "left_semi")
     table = read_episode_table(spark, root)
     if mode == "inspect":
-        per_store, details = V.inspect(rows, table), V.inspect_columns(rows, table)
+        per_store, details = V.inspect(rows, None if table.isEmpty() else table), V.inspect_columns(rows, table)
     else:
         details, _ = materialised(V.validate(rows, table, strict_done))
         per_store = V.verdicts(stores, details)

@@ -64,9 +64,9 @@ def convert(
     }
 
     source = canonical_steps(read_steps(spark, root, K.SOURCE_COLUMNS))
-    if not null_keys(source).isEmpty():
-        raise ValueError("episode_index, frame_index and index must not be null.")
     steps = assign_splits(source, bounds)
+    if not null_keys(steps).isEmpty():
+        raise ValueError("frame_index and index must not be null in the chosen splits.")
 
     issues = source_issues(steps, ["split"], require_terminal_done=require_terminal_done)
     issues, n_issues = materialised(issues)
@@ -125,15 +125,19 @@ def check_totals(steps: DataFrame, table: DataFrame) -> None:
 
 
 def locate(wanted: DataFrame, files: DataFrame, n_wanted: int) -> DataFrame:
-    """Wanted (episode, camera) rows with the content of their file; raises if a file is missing.
+    """Wanted (episode, camera) rows with the content of their file; raises if a file is missing or not the only one.
 
-    Missing files are found on names alone. A list of wanted files of known, small length goes
+    Both are found on names alone. A list of wanted files of known, small length goes
     to the readers, so that video bytes stay where they are read; a longer one is shuffled.
     """
     key = ["episode_index", "camera"]
     absent = wanted.join(files.select(*key), key, "left_anti").select(*key).limit(3).collect()
     if absent:
         raise FileNotFoundError(f"Episodes without a video, such as {[tuple(r) for r in absent]}.")
+    counted = files.select(*key).join(wanted.select(*key), key, "left_semi").groupBy(*key).count()
+    double = counted.where("count > 1").select(*key).limit(3).collect()
+    if double:
+        raise ValueError(f"Episodes with several videos of one camera, such as {[tuple(r) for r in double]}.")
     skipped = F.coalesce("frame_offset", F.lit(0)) if "frame_offset" in files.columns else F.lit(0)
     listed = F.broadcast(wanted) if n_wanted <= BROADCAST_VIDEOS else wanted
     return files.join(listed, key).withColumn("expected", F.col("ep_len") + skipped)

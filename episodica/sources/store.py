@@ -65,13 +65,13 @@ def select_store(stores: DataFrame, split: str | None = None, camera: str | None
         found = found.where(F.col("split") == split)
     if camera:
         found = found.where((F.col("camera") == camera) | match_camera(camera_slug(F.col("camera")), F.lit(camera)))
-    matches = [tuple(r) for r in found.select("split", "camera").limit(2).collect()]
+    matches = [tuple(r) for r in found.select("split", "camera").distinct().orderBy("split", "camera").collect()]
     if len(matches) == 1:
         return matches[0]
     asked = f"split={split!r}, camera={camera!r}"
     if not matches:
         raise FileNotFoundError(f"No store matches {asked}.")
-    raise ValueError(f"More than one store matches {asked}, such as {matches}; give split and camera.")
+    raise ValueError(f"More than one store matches {asked}: {matches}; give split and camera.")
 
 
 def episode_bounds(episode_table: DataFrame, split: str, ep_pos: int) -> tuple[int, int]:
@@ -105,6 +105,19 @@ def store_rows(steps: DataFrame) -> DataFrame:
     return steps.withColumnsRenamed({"episode_index": "episode_idx", "frame_index": "step_idx"})
 
 
+def _check_shared_index(spark: SparkSession, episode_table: DataFrame, attributes: DataFrame, root: str) -> None:
+    """The cameras of a split share one episode table; raise if a write would change it under another store."""
+    written = attributes.select("split", "camera").distinct()
+    others = list_stores(spark, root).join(written, ["split", "camera"], "left_anti").select("split").distinct()
+    shared = [r.split for r in others.join(written.select("split").distinct(), "split").collect()]
+    if not shared:
+        return
+    columns = K.EPISODE_TABLE_SCHEMA.names
+    old, new = (t.select(*columns).where(F.col("split").isin(shared)) for t in (read_episode_table(spark, root), episode_table))
+    if not (old.exceptAll(new).isEmpty() and new.exceptAll(old).isEmpty()):
+        raise ValueError(f"Splits {shared} have other stores with other episodes below {root}; write all cameras of a split together.")
+
+
 def write_store(
     rows: DataFrame,
     episode_table: DataFrame,
@@ -129,6 +142,7 @@ def write_store(
         if clash:
             raise FileExistsError(f"Stores exist below {root}, such as {clash}; use mode='overwrite'.")
 
+    _check_shared_index(spark, episode_table, attributes, root)
     if "block" not in rows.columns:
         rows = rows.withColumn("block", F.shiftright("row", block_bits(frame_bytes)))
         rows = rows.repartition("split", "camera", "block")
