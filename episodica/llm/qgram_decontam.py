@@ -105,16 +105,19 @@ def verified(items: Items, k: int, text: np.ndarray, low: int) -> tuple[int, int
     """Region and edits of item ``k`` near the band of diagonals that begins at ``low``, if in budget."""
     item, budget = items.codes[k], int(items.budget[k])
     width = 4 * (budget + 1)
-    begin = max(0, low - budget - 1)
-    region = text[begin : begin + len(item) + width + budget + 1]
+    begin = low - budget - 1
+    # Before its first character a text goes on with gaps, so that diagonals may begin there.
+    gaps = np.full(max(0, -begin), GAP, np.uint32)
+    region = np.concatenate([gaps, text[max(0, begin) : max(0, begin + len(item) + width + budget + 1)]])
     for exact in range(min(width, max(0, len(region) - len(item) + 1))):
         if region[exact] == item[0] and np.array_equal(region[exact : exact + len(item)], item):
             return begin + exact, begin + exact + len(item), 0
     edits, end = _align(item, region, width)
     if edits > budget:
         return None
-    back, size = _align(item[::-1], region[:end][::-1], budget + 1)
-    return (begin + end - size if back == edits else begin + max(0, end - len(item))), begin + end, edits
+    turned = np.concatenate([np.full(budget, GAP, np.uint32), region[:end][::-1]])
+    size = _align(item[::-1], turned, 2 * budget + 1)[1] - budget
+    return max(0, begin + end - size), min(len(text), begin + end), edits
 
 
 def _bands(items: Items, text: np.ndarray) -> list[tuple[int, int]]:
