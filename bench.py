@@ -56,11 +56,11 @@ def jobs(spark, sf_dir, raw, out):
 
     def sliced():
         counted, _ = materialised(rows().groupBy("split", "camera").agg(F.count(F.lit(1)).alias("n_rows")))
-        return slices.assign_slices(rows(), table().join(counted, "split"), "n_rows", ["split", "camera"])
+        return slices.assign_slices(rows(), table().join(counted, ["split", "camera"]), "n_rows", ["split", "camera"])
 
     def aligned():
         shown = table().withColumn("frame_pos", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ep_len") + 1)))
-        shown = frames.frame_rows(splits.fan_out(shown, X.CAMERAS)).withColumn("pixels", F.col("frame_pos"))
+        shown = frames.frame_rows(shown).withColumn("pixels", F.col("frame_pos"))
         return frames.attach_frames(rows().drop("pixels"), shown)
 
     return {

@@ -353,7 +353,16 @@ select split, camera, "column", dtype, n_values, shape from cells""",
   cast("timestamp" as double) as "timestamp", "index", task_index, cast(quantity as double) as action_0,
   cast(price as double) as proprio_1, cast(tax as double) as state_3, lpad(hex("row"), 6, '0') as colour
 from line_store""",
-    "s13_written_episode_table": f"with {ORDER_SPLITS}, {LINE_INDEX} select split, ep_pos, episode_index, ep_len, ep_offset from line_index",
+    "s13_written_episode_table": f"with {ORDER_SPLITS}, {LINE_INDEX}, {CAMS} select split, camera, ep_pos, episode_index, ep_len, ep_offset from line_index, cameras",
+    "s7_cameras_apart": f"""with {LINE_STORE}, kept as (
+  select split, camera, episode_idx from line_store where camera = {q(CAMERAS[0])} or episode_idx % 3 <> 0)
+select split, camera, true as valid, cast(0 as bigint) as n_errors, count(distinct episode_idx) as num_episodes, count(*) as total_steps
+from kept group by 1, 2""",
+    "v1_stored_without_action": f"""with {LINE_STORE}
+select distinct split, camera, cast(-1 as bigint) as ep_pos, cast(1 as bigint) as "check",
+  'Missing required keys: [''action'']' as message from line_store""",
+    "a2_stored_without_index": f"""with {LINE_STORE} select split, camera, count(distinct episode_idx) as num_episodes,
+  count(*) as total_steps from line_store where camera = {q(CAMERAS[1])} group by 1, 2""",
     "s6_s12_written_attributes": f"""with {LINE_STORE} select split, camera, 'tables/lineitem' as source_repo_id,
   split as source_split, camera as source_camera_key, cast(10 as bigint) as fps, count(*) as n_rows
 from line_store group by 1, 2""",

@@ -107,6 +107,7 @@ EPISODE_TABLE_SCHEMA = T.StructType(
         T.StructField("ep_len", T.LongType()),
         T.StructField("ep_offset", T.LongType()),
         T.StructField("split", T.StringType()),
+        T.StructField("camera", T.StringType()),
     ]
 )
 ATTRIBUTES_SCHEMA = T.StructType(
@@ -116,6 +117,7 @@ ATTRIBUTES_SCHEMA = T.StructType(
         T.StructField("source_camera_key", T.StringType()),
         T.StructField("fps", T.IntegerType()),
         T.StructField("generated_by", T.StringType()),
+        T.StructField("complete", T.BooleanType()),
         T.StructField("split", T.StringType()),
         T.StructField("camera", T.StringType()),
     ]

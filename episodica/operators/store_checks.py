@@ -27,6 +27,16 @@ DTYPES = {
 }
 
 
+def _keys(episode_table: DataFrame) -> list[str]:
+    """An episode table is one per store, or one per split for all its cameras."""
+    return [k for k in STORE if k in episode_table.columns]
+
+
+def _has_frames(rows: DataFrame) -> bool:
+    dtype = rows.schema["pixels"].dataType
+    return isinstance(dtype, T.StructType) and {*K.PIXELS.names} <= {*dtype.names}
+
+
 def _per_store(table: DataFrame, n_stores: int) -> DataFrame:
     return F.broadcast(table) if n_stores <= BROADCAST_STORES else table
 
@@ -41,10 +51,11 @@ def inspect(rows: DataFrame, episode_table: DataFrame | None = None) -> DataFram
     """
     n = F.count(F.lit(1))
     if episode_table is not None and "ep_len" in episode_table.columns:
-        declared = episode_table.groupBy("split").agg(
+        keys = _keys(episode_table)
+        declared = episode_table.groupBy(*keys).agg(
             F.count("ep_len").alias("num_episodes"), F.coalesce(F.sum("ep_len"), F.lit(0)).alias("total_steps")
         )
-        return rows.select(*STORE).distinct().join(declared, "split", "left")
+        return rows.select(*STORE).distinct().join(declared, keys, "left")
     if "episode_idx" in rows.columns:
         per_episode = rows.groupBy(*STORE, "episode_idx").agg(n.alias("n"))
         return per_episode.groupBy(*STORE).agg(n.alias("num_episodes"), F.sum("n").alias("total_steps"))
@@ -77,11 +88,12 @@ def inspect_columns(rows: DataFrame, episode_table: DataFrame | None = None) ->
         labels[name] = DTYPES.get(dtype, dtype.simpleString())
     per_store = rows.groupBy(*STORE).agg(*aggs)
     out = _unpivot(per_store, labels)
-    if episode_table is None:
+    names = [c for c in K.EPISODE_COLUMNS if episode_table is not None and c in episode_table.columns]
+    if not names:
         return out
-    names = [c for c in K.EPISODE_COLUMNS if c in episode_table.columns]
     types = {c: DTYPES.get(episode_table.schema[c].dataType, "object") for c in names}
-    counted = episode_table.groupBy("split").agg(
+    keys = _keys(episode_table)
+    counted = episode_table.groupBy(*keys).agg(
         *[
             F.struct(
                 F.count(c).alias("n_values"),
@@ -91,7 +103,7 @@ def inspect_columns(rows: DataFrame, episode_table: DataFrame | None = None) ->
         ]
     )
     stores = per_store.select(*STORE)
-    return out.unionByName(_unpivot(stores.join(counted, "split"), types))
+    return out.unionByName(_unpivot(stores.join(counted, keys), types))
 
 
 def _extent(low: Column, high: Column) -> Column:
@@ -130,51 +142,61 @@ def validate(
     strict_done: bool = True,
     required: Sequence[str] = (*K.PER_STEP_COLUMNS, *K.EPISODE_COLUMNS),
     bits: Sequence[int] = RANGE_BITS,
+    pixel_bytes: bool = False,
 ) -> DataFrame:
     """All messages of all stores: split, camera, ep_pos, check, message; valid stores yield none.
 
     Ordered by (ep_pos, check): store-wide messages have ep_pos -1; ``check`` numbers the rules
-    in the order they are applied. ``required`` may leave out columns a table does not have.
+    in the order they are applied. ``required`` may leave out columns a table does not have. A
+    column without any value in one store is missing there. ``pixel_bytes`` reads the pixels too and
+    compares their number with the shape.
     """
     missing = missing_columns(rows, episode_table, required)
     if missing:
         text = K.MISSING_KEYS % missing
         return _messages(rows.select(*STORE).distinct(), [(1, F.lit(True), F.lit(text))])
 
-    stores, n_stores = materialised(store_totals(rows))
+    stores, n_stores = materialised(store_totals(rows, pixel_bytes))
     rank_one = all(isinstance(episode_table.schema[c].dataType, T.IntegralType) for c in K.EPISODE_COLUMNS)
     if not rank_one:
-        return _messages(stores, [*_row_checks(rows), (5, F.lit(True), F.lit(K.INDEX_RANK))])
+        return _messages(stores, [*_row_checks(rows, pixel_bytes), (5, F.lit(True), F.lit(K.INDEX_RANK))])
 
-    index, n_splits = materialised(index_totals(episode_table, bits))
-    whole = stores.join(_per_store(index, n_splits), "split", "left").na.fill(0, ["n_len", "n_offset", "sum_len"])
-    store_wide = _messages(whole, [*_row_checks(rows), *_index_checks()])
+    keys = _keys(episode_table)
+    index, n_indexes = materialised(index_totals(episode_table, bits))
+    whole = stores.join(_per_store(index, n_indexes), keys, "left").na.fill(0, ["n_len", "n_offset", "sum_len"])
+    store_wide = _messages(whole, [*_row_checks(rows, pixel_bytes), *_index_checks()])
 
     slices = (
         episode_table.where("ep_len is not null and ep_offset is not null")
-        .select("split", "ep_pos", "ep_len", "ep_offset")
-        .join(_per_store(stores.select(*STORE, "n_rows"), n_stores), "split")
+        .select(*keys, "ep_pos", "ep_len", "ep_offset")
+        .join(_per_store(stores.select(*STORE, "n_rows"), n_stores), keys)
     )
     return store_wide.unionByName(slice_messages(rows, slices, strict_done))
 
 
-def store_totals(rows: DataFrame) -> DataFrame:
+def store_totals(rows: DataFrame, pixel_bytes: bool = False) -> DataFrame:
     """Per store: n_rows, the number of values of each column, and the extent of the pixels."""
     aggs = [F.count("episode_idx").alias("n_rows")]
     for c in K.PER_STEP_COLUMNS:
         if c in rows.columns and c != "pixels":
             aggs.append(F.count(c).alias(f"n_{c}"))
-    if "pixels" in rows.columns:
+    if "pixels" in rows.columns and not _has_frames(rows):
+        aggs.append(F.count("pixels").alias("n_pixels"))
+    elif "pixels" in rows.columns:
         aggs.append(F.count("pixels.channels").alias("n_pixels"))
+        if pixel_bytes:
+            size = F.col("pixels.height").cast("long") * F.col("pixels.width") * F.col("pixels.channels")
+            aggs.append(F.count_if(F.coalesce(F.octet_length("pixels.data"), F.lit(-1)) != size).alias("n_torn"))
         for part in ("height", "width", "channels"):
             aggs += [F.min(f"pixels.{part}").alias(f"min_{part}"), F.max(f"pixels.{part}").alias(f"max_{part}")]
     return rows.groupBy(*STORE).agg(*aggs)
 
 
 def index_totals(episode_table: DataFrame, bits: Sequence[int] = RANGE_BITS) -> DataFrame:
-    """Per split: what the store-wide checks need from the episode table."""
-    before = scan(episode_table, "ep_pos", ["split"], lags={"before": F.col("ep_offset")}, bits=bits)
-    return before.groupBy("split").agg(
+    """Per store (or split): what the store-wide checks need from the episode table."""
+    keys = _keys(episode_table)
+    before = scan(episode_table, "ep_pos", keys, lags={"before": F.col("ep_offset")}, bits=bits)
+    return before.groupBy(*keys).agg(
         F.count("ep_len").alias("n_len"),
         F.count("ep_offset").alias("n_offset"),
         F.min_by("ep_offset", "ep_pos").alias("first_offset"),
@@ -184,21 +206,28 @@ def index_totals(episode_table: DataFrame, bits: Sequence[int] = RANGE_BITS) ->
     )
 
 
-def _row_checks(rows: DataFrame) -> list[tuple[int, Column, Column]]:
+def _row_checks(rows: DataFrame, pixel_bytes: bool = False) -> list[tuple[int, Column, Column]]:
     columns = [c for c in K.PER_STEP_COLUMNS if c in rows.columns]
+    empty = {c: (F.col(f"n_{c}") == 0) & (F.col("n_rows") > 0) for c in columns}
+    lacking = F.concat_ws(", ", *[F.when(empty[c], F.lit(f"'{c}'")) for c in columns])
     short = F.concat_ws(
         ", ",
-        *[F.when(F.col(f"n_{c}") != F.col("n_rows"), F.format_string(f"'{c}': %d", f"n_{c}")) for c in columns],
+        *[F.when((F.col(f"n_{c}") != F.col("n_rows")) & ~empty[c], F.format_string(f"'{c}': %d", f"n_{c}")) for c in columns],
     )
-    checks = [(2, short != "", F.format_string(K.LENGTH_MISMATCH, short))]
-    if "pixels" in columns:
+    checks = [(1, lacking != "", F.format_string(K.MISSING_KEYS, F.concat(F.lit("["), lacking, F.lit("]"))))]
+    checks += [(2, short != "", F.format_string(K.LENGTH_MISMATCH, short))]
+    if "pixels" in columns and not _has_frames(rows):
+        checks.append((3, F.lit(True), F.lit(K.PIXELS_RANK % 1)))
+    elif "pixels" in columns:
         parts = ("height", "width", "channels")
         uniform = F.lit(True)
         for p in parts:
             uniform = uniform & (F.col(f"min_{p}") == F.col(f"max_{p}"))
+        if pixel_bytes:
+            uniform = uniform & (F.col("n_torn") == 0)
         channels = F.col("max_channels")
         checks += [
-            # Frames of different sizes do not stack into a rank-4 array.
+            # Frames of different sizes, or with too few or many bytes, do not stack into a rank-4 array.
             (3, ~uniform, F.format_string(K.PIXELS_RANK, F.lit(1))),
             (4, uniform & ~channels.isin(1, 3), F.format_string(K.PIXELS_CHANNELS, channels)),
         ]

@@ -22,8 +22,12 @@ def check_stores(
     report: str | None = None,
     strict_done: bool = True,
     fail_on_error: bool = True,
+    pixel_bytes: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """(one row per store, details): verdicts and messages, or totals and column shapes."""
+    """(one row per store, details): verdicts and messages, or totals and column shapes.
+
+    ``pixel_bytes`` also compares the bytes of every frame with its shape, which reads all pixels.
+    """
     if mode not in K.STORE_MODES:
         raise ValueError(f"Unknown mode {mode!r}; use one of {K.STORE_MODES}.")
     stores = list_stores(spark, root)
@@ -33,9 +37,9 @@ def check_stores(
     rows = read_store(spark, root).join(stores, listed, "left_semi")
     table = read_episode_table(spark, root)
     if mode == "inspect":
-        per_store, details = V.inspect(rows, None if table.isEmpty() else table), V.inspect_columns(rows, table)
+        per_store, details = V.inspect(rows, table), V.inspect_columns(rows, table)
     else:
-        details, _ = materialised(V.validate(rows, table, strict_done))
+        details, _ = materialised(V.validate(rows, table, strict_done, pixel_bytes=pixel_bytes))
         per_store = V.verdicts(stores, details)
     if report is not None:
         write_store_report(per_store, details, report, mode, root)

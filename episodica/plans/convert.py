@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ from episodica.sources.reports import write_conversion_report
 from episodica.sources.steps import canonical_steps, null_keys, read_episodes, read_info, read_steps, read_videos
 from episodica.sources.store import block_bits, check_compression, store_rows, with_proprio, write_store
 
-# Wanted video files up to which their list is sent to every executor (about 100 bytes each).
-BROADCAST_VIDEOS = 500_000
+# Wanted videos that one list sent to every executor may hold (about 100 bytes each).
+LISTED_VIDEOS = 500_000
 
 
 def convert(
@@ -89,14 +90,15 @@ def convert(
         raise DirtyEpisodes(f"No episodes are left in splits {empty}.")
 
     kept = status.where("kept").select("split", "episode_index")
-    table, n_episodes = materialised(episode_table(lengths(read_episodes(spark, root), kept)))
+    table, _ = materialised(episode_table(lengths(read_episodes(spark, root), kept)))
     kept_steps = drop_dirty(steps, issues, ["split"]) if policy == "drop" else steps
     check_totals(kept_steps, table)
 
     rows = with_proprio(store_rows(row_position(kept_steps, group=["split"])))
     rows = fan_out(rows, cameras)
     files = read_videos(spark, root) if videos is None else videos
-    located = locate(fan_out(table.where("ep_len > 0"), cameras), files, n_episodes * len(cameras))
+    opened = (lambda paths: read_videos(spark, root, paths=paths)) if videos is None else None
+    located = locate(fan_out(table.where("ep_len > 0"), cameras), files, len(bounds) * len(cameras), opened)
     frames = frame_rows(decode(located, decoders, image_size, expected="expected", fail_short=True, batch=batch))
     with laid_out_joins(spark):
         write_store(
@@ -124,11 +126,15 @@ def check_totals(steps: DataFrame, table: DataFrame) -> None:
             raise RuntimeError(f"Split {r.split!r} has {r.actual} rows, but its episodes declare {r.declared}.")
 
 
-def locate(wanted: DataFrame, files: DataFrame, n_wanted: int) -> DataFrame:
-    """Wanted (episode, camera) rows with the content of their file; raises if a file is missing or not the only one.
+def locate(
+    wanted: DataFrame, files: DataFrame, per_episode: int, opened: Callable[[list[str]], DataFrame] | None = None
+) -> DataFrame:
+    """Wanted (split, episode, camera) rows with the content of their file; raises if a file is missing or not the only one.
 
-    Both are found on names alone. A list of wanted files of known, small length goes
-    to the readers, so that video bytes stay where they are read; a longer one is shuffled.
+    Both are found on names alone. The wanted rows go to the readers, so that video bytes stay where
+    they are read, in ranges of episode ids: an id has at most ``per_episode`` wanted rows, so the length of
+    each list is bounded however many there are. ``opened`` reads the files at given paths; of several
+    ranges, each opens its own files only.
     """
     key = ["episode_index", "camera"]
     absent = wanted.join(files.select(*key), key, "left_anti").select(*key).limit(3).collect()
@@ -139,8 +145,22 @@ def locate(wanted: DataFrame, files: DataFrame, n_wanted: int) -> DataFrame:
     if double:
         raise ValueError(f"Episodes with several videos of one camera, such as {[tuple(r) for r in double]}.")
     skipped = F.coalesce("frame_offset", F.lit(0)) if "frame_offset" in files.columns else F.lit(0)
-    listed = F.broadcast(wanted) if n_wanted <= BROADCAST_VIDEOS else wanted
-    return files.join(listed, key).withColumn("expected", F.col("ep_len") + skipped)
+    span = max(1, LISTED_VIDEOS // per_episode)
+    low, high = wanted.agg(F.min("episode_index"), F.max("episode_index")).first()
+    starts = [0] if low is None else range(low, high + 1, span)
+    if opened is not None and len(starts) > 1:
+        named, _ = materialised(files.select(*key, "path").join(wanted.select(*key), key, "left_semi"))
+    parts = []
+    for start in starts:
+        here = F.col("episode_index").between(start, start + span - 1)
+        of_range = files.where(here) if len(starts) > 1 else files
+        if opened is not None and len(starts) > 1:
+            paths = [r.path for r in named.where(here).select("path").distinct().collect()]
+            if not paths:
+                continue
+            of_range = opened(paths)
+        parts.append(of_range.join(F.broadcast(wanted.where(here)), key))
+    return reduce(DataFrame.unionByName, parts).withColumn("expected", F.col("ep_len") + skipped)
 
 
 def frame_size(shapes: Mapping[str, tuple[int, ...]], cameras: Sequence[str], image_size: int | None) -> int:
@@ -176,5 +196,5 @@ def attach_by_block(rows: DataFrame, frames: DataFrame, bits: int) -> DataFrame:
 
 
 def attributes(spark: SparkSession, repo_id: str, fps: int, splits: Sequence[str], cameras: Sequence[str]) -> DataFrame:
-    rows = [(repo_id, s, c, fps, "episodica.convert", s, c) for s in splits for c in cameras]
-    return spark.createDataFrame(rows, K.ATTRIBUTES_SCHEMA)
+    rows = [(repo_id, s, c, fps, "episodica.convert", False, s, c) for s in splits for c in cameras]
+    return spark.createDataFrame(rows, K.ATTRIBUTES_SCHEMA).drop("complete")

@@ -44,7 +44,7 @@ def replay(
     of_split, of_camera = store.select_store(store.list_stores(spark, root), split, camera)
     rows, table = store.read_store(spark, root), store.read_episode_table(spark, root)
     check_replay_columns(rows, table)
-    offset, length = store.episode_bounds(table, of_split, ep_pos)
+    offset, length = store.episode_bounds(table, of_split, of_camera, ep_pos)
     first, last, step = S.resolve_window(length, start, end, stride)
     episode = store.select_episode(rows, of_split, of_camera, offset, length)
     check_replay_rows(episode)

@@ -1,7 +1,8 @@
 """The training store: Parquet steps by split and camera, an episode table and attributes.
 
-Layout of a root: steps/split=/camera=, episodes/split=, attributes/split=/camera=. The
-attributes of a store are written last, so a store with attributes is complete.
+Layout of a root: steps, episodes and attributes, each by split=/camera=. The attributes say whether
+a store is complete: they deny it before anything else changes and confirm it last, so a listed store
+is complete.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from episodica.functions.names import camera_slug, match_camera
 
 # Parquet codec per option; lz4_raw stands for the fast codec, which Parquet does not have.
 CODECS = {"none": "none", "lzf": "lz4_raw", "gzip": "gzip"}
+STORE_KEYS = ["split", "camera"]
 # Pixels per block of consecutive rows. Files hold whole blocks, so a slice touches few files,
 # and a block fits one task whatever the size of a frame.
 BLOCK_BYTES = 1 << 28
@@ -32,25 +34,45 @@ def check_compression(compression: str) -> str:
     return CODECS[compression]
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType, absent: T.StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
+            return spark.createDataFrame([], absent)
         raise
 
 
+def _read_real(spark: SparkSession, path: str, usual: T.StructType, absent: T.StructType) -> DataFrame:
+    """The columns that the files below a path really have; those of ``usual`` come first, in its order.
+
+    Stores may differ, so the footers of all files are merged; a column that a store lacks is null in it.
+    """
+    try:
+        found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return spark.createDataFrame([], absent)
+        raise
+    names = [n for n in usual.names if n in found.names] + [n for n in found.names if n not in usual.names]
+    # Values of the partitions are text, also where they look like numbers.
+    fields = [T.StructField(n, T.StringType()) if n in STORE_KEYS else found[n] for n in names]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def read_store(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, f"{root}/steps", K.STORE_SCHEMA)
+    return _read_real(spark, f"{root}/steps", K.STORE_SCHEMA, K.STORE_SCHEMA)
 
 
 def read_episode_table(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, f"{root}/episodes", K.EPISODE_TABLE_SCHEMA)
+    """Episodes of every store; without any such file it has no columns but split and camera."""
+    keys = T.StructType([T.StructField(k, T.StringType()) for k in STORE_KEYS])
+    return _read_real(spark, f"{root}/episodes", K.EPISODE_TABLE_SCHEMA, keys)
 
 
 def read_attributes(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, f"{root}/attributes", K.ATTRIBUTES_SCHEMA)
+    """Attributes of the complete stores."""
+    return _read(spark, f"{root}/attributes", K.ATTRIBUTES_SCHEMA, K.ATTRIBUTES_SCHEMA).where("complete").drop("complete")
 
 
 def list_stores(spark: SparkSession, root: str) -> DataFrame:
@@ -74,12 +96,12 @@ def select_store(stores: DataFrame, split: str | None = None, camera: str | None
     raise ValueError(f"More than one store matches {asked}: {matches}; give split and camera.")
 
 
-def episode_bounds(episode_table: DataFrame, split: str, ep_pos: int) -> tuple[int, int]:
-    """(ep_offset, ep_len) of the episode at a position of the split."""
-    of_split = episode_table.where(F.col("split") == split)
-    row = of_split.where(F.col("ep_pos") == ep_pos).select("ep_offset", "ep_len").first()
+def episode_bounds(episode_table: DataFrame, split: str, camera: str, ep_pos: int) -> tuple[int, int]:
+    """(ep_offset, ep_len) of the episode at a position of the store."""
+    of_store = episode_table.where((F.col("split") == split) & (F.col("camera") == camera))
+    row = of_store.where(F.col("ep_pos") == ep_pos).select("ep_offset", "ep_len").first()
     if row is None:
-        raise IndexError(f"Episode position {ep_pos} is outside 0..{of_split.count() - 1}.")
+        raise IndexError(f"Episode position {ep_pos} is outside 0..{of_store.count() - 1}.")
     if row.ep_len <= 0:
         raise ValueError(f"Episode {ep_pos} has length {row.ep_len}.")
     return row.ep_offset, row.ep_len
@@ -105,17 +127,14 @@ def store_rows(steps: DataFrame) -> DataFrame:
     return steps.withColumnsRenamed({"episode_index": "episode_idx", "frame_index": "step_idx"})
 
 
-def _check_shared_index(spark: SparkSession, episode_table: DataFrame, attributes: DataFrame, root: str) -> None:
-    """The cameras of a split share one episode table; raise if a write would change it under another store."""
-    written = attributes.select("split", "camera").distinct()
-    others = list_stores(spark, root).join(written, ["split", "camera"], "left_anti").select("split").distinct()
-    shared = [r.split for r in others.join(written.select("split").distinct(), "split").collect()]
-    if not shared:
-        return
-    columns = K.EPISODE_TABLE_SCHEMA.names
-    old, new = (t.select(*columns).where(F.col("split").isin(shared)) for t in (read_episode_table(spark, root), episode_table))
-    if not (old.exceptAll(new).isEmpty() and new.exceptAll(old).isEmpty()):
-        raise ValueError(f"Splits {shared} have other stores with other episodes below {root}; write all cameras of a split together.")
+def check_written(spark: SparkSession, root: str, stores: DataFrame) -> None:
+    """Every one of ``stores`` holds as many rows as its episode table says."""
+    rows = read_store(spark, root).groupBy(*STORE_KEYS).agg(F.count(F.lit(1)).alias("written"))
+    declared = read_episode_table(spark, root).groupBy(*STORE_KEYS).agg(F.sum("ep_len").alias("declared"))
+    both = stores.select(*STORE_KEYS).distinct().join(rows, STORE_KEYS, "left").join(declared, STORE_KEYS, "left").na.fill(0, ["written", "declared"])
+    wrong = [tuple(r) for r in both.where("written <> declared").select(*STORE_KEYS, "written", "declared").collect()]
+    if wrong:
+        raise RuntimeError(f"Stores whose written rows differ from sum(ep_len): {wrong}.")
 
 
 def write_store(
@@ -126,36 +145,47 @@ def write_store(
     mode: str = "error",
     compression: str = "lzf",
     frame_bytes: int = 0,
+    verify: bool = True,
 ) -> None:
     """Write the stores named in ``attributes``; other stores below the root stay as they are.
 
-    mode ``error`` raises if one of them exists; ``overwrite`` replaces exactly these. Rows that
-    have a ``block`` column are taken as spread by it already, as after ``attach_by_block``.
+    mode ``error`` raises if one of them exists; ``overwrite`` replaces exactly these. An
+    episode table without a camera holds for every camera of its split. Rows that have a ``block``
+    column are taken as spread by it already, as after ``attach_by_block``. ``verify`` compares the
+    written rows with the episode table before a store is listed.
     """
     codec = check_compression(compression)
     if mode not in ("error", "overwrite"):
         raise ValueError(f"Unknown mode {mode!r}; use 'error' or 'overwrite'.")
     spark = rows.sparkSession
+    stores = attributes.select(*STORE_KEYS).distinct()
     if mode == "error":
-        there = list_stores(spark, root).join(attributes.select("split", "camera"), ["split", "camera"])
-        clash = [tuple(r) for r in there.limit(3).collect()]
+        clash = [tuple(r) for r in list_stores(spark, root).join(stores, STORE_KEYS).limit(3).collect()]
         if clash:
             raise FileExistsError(f"Stores exist below {root}, such as {clash}; use mode='overwrite'.")
 
-    _check_shared_index(spark, episode_table, attributes, root)
     if "block" not in rows.columns:
         rows = rows.withColumn("block", F.shiftright("row", block_bits(frame_bytes)))
         rows = rows.repartition("split", "camera", "block")
-    laid_out = rows.sortWithinPartitions("split", "camera", "block", "row").select(*K.STORE_SCHEMA.names)
-    for df, name, keys in (
-        (laid_out, "steps", ["split", "camera"]),
-        (episode_table.select(*K.EPISODE_TABLE_SCHEMA.names), "episodes", ["split"]),
-        (attributes.select(*K.ATTRIBUTES_SCHEMA.names).coalesce(1), "attributes", ["split", "camera"]),
-    ):
+    laid_out = rows.sortWithinPartitions("split", "camera", "block", "row").drop("block")
+    index = episode_table.join(stores, [k for k in STORE_KEYS if k in episode_table.columns])
+
+    def put(df: DataFrame, name: str) -> None:
         (
             df.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", codec)
-            .partitionBy(*keys)
+            .partitionBy(*STORE_KEYS)
             .parquet(f"{root}/{name}")
         )
+
+    def listed(complete: bool) -> None:
+        marked = attributes.withColumn("complete", F.lit(complete))
+        put(marked.select(*K.ATTRIBUTES_SCHEMA.names).coalesce(1), "attributes")
+
+    listed(False)
+    put(laid_out, "steps")
+    put(index, "episodes")
+    if verify:
+        check_written(spark, root, stores)
+    listed(True)

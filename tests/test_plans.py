@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from episodica import check_stores, convert, replay
 from episodica.operators.quality import DirtyEpisodes
 from episodica.plans.check import InvalidStore
+from episodica.plans.convert import locate
 from episodica.sources import steps as source
 from episodica.sources import store
 
@@ -162,6 +163,20 @@ def test_policies(spark, tmp_path):
     assert {r.split for r in store.list_stores(spark, str(tmp_path / "lax")).collect()} == {"train"}
 
 
+@pytest.mark.parametrize("limit", [1, 4, 1000])
+def test_video_bytes_are_never_shuffled(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr("episodica.plans.convert.LISTED_VIDEOS", limit)
+    root = make_raw(spark, str(tmp_path / "raw"))
+    wanted = spark.createDataFrame([("train", e, c, n) for e, n in enumerate(LENGTHS) for c in CAMERAS if e != 2], "split string, episode_index long, camera string, ep_len long")
+    files = source.read_videos(spark, root)
+    for opened in (None, lambda paths: source.read_videos(spark, root, paths=paths)):
+        found = locate(wanted, files, 2, opened)
+        got = {(r.episode_index, r.camera): len(r.content) for r in found.collect()}
+        assert got == {(e, c): 12 * n for e, n in enumerate(LENGTHS) for c in CAMERAS if e != 2} and found.count() == 8
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_failures(spark, tmp_path):
     out = str(tmp_path / "out")
     root = make_raw(spark, str(tmp_path / "short"), short=(2,))

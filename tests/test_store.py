@@ -24,7 +24,7 @@ def rows_of(spark, steps, split="train", camera=CAMERA, shape=(4, 4, 3)):
 
 def table_of(spark, lengths, offsets, split="train"):
     data = [(i, i, n, o, split) for i, (n, o) in enumerate(zip(lengths, offsets))]
-    return spark.createDataFrame(data, K.EPISODE_TABLE_SCHEMA)
+    return spark.createDataFrame(data, K.EPISODE_TABLE_SCHEMA[:-1])
 
 
 def messages(found):
@@ -179,6 +179,61 @@ def test_overwrite_guard(spark, tmp_path):
         write(spark, root, mode="append")
 
 
+def test_cameras_have_their_own_episodes(spark, tmp_path):
+    root = str(tmp_path / "s")
+    write(spark, root)
+    rows = rows_of(spark, [(7, 0, 0), (7, 1, 0), (7, 2, 1)], camera="wrist")
+    table, named = table_of(spark, [3], [0]), attributes(spark, "some/data", 10, ["train"], ["wrist"])
+    store.write_store(rows, table, named, root)
+    back, index = store.read_store(spark, root), store.read_episode_table(spark, root)
+    assert V.validate(back, index, pixel_bytes=True).isEmpty()
+    assert store.episode_bounds(index, "train", "wrist", 0) == (0, 3)
+    assert store.episode_bounds(index, "train", CAMERA, 1) == (2, 2)
+    assert {(r.camera, r.num_episodes, r.total_steps) for r in V.inspect(back, index).collect()} == {(CAMERA, 2, 4), ("wrist", 1, 3)}
+
+
+def test_a_store_is_listed_only_while_it_is_complete(spark, tmp_path):
+    root = str(tmp_path / "s")
+    write(spark, root, cameras=(CAMERA, "wrist"))
+    named = attributes(spark, "some/data", 10, ["train"], [CAMERA])
+    broken = table_of(spark, [2, 2], [0, 2]).withColumn("ep_len", F.expr("ep_len + cast(raise_error('no index') as bigint)"))
+    for rows, table, why in (
+        (rows_of(spark, four_rows([1, 1, 1, 1])), broken, "no index"),
+        (rows_of(spark, four_rows([0, 1, 0, 1])[:3]), table_of(spark, [2, 2], [0, 2]), "sum"),
+    ):
+        with pytest.raises(Exception, match=why):
+            store.write_store(rows, table, named, root, "overwrite")
+        assert [tuple(r) for r in store.list_stores(spark, root).collect()] == [("train", "wrist")]
+    write(spark, root)
+    assert store.list_stores(spark, root).count() == 2
+
+
+def test_what_is_on_disk_is_checked(spark, tmp_path):
+    rows, table = rows_of(spark, four_rows([0, 1, 0, 1])), table_of(spark, [2, 2], [0, 2])
+    named = attributes(spark, "some/data", 10, ["train"], [CAMERA])
+
+    def stored(label, rows, table=table, verify=True):
+        root = str(tmp_path / label)
+        store.write_store(rows, table, named, root, verify=verify)
+        return store.read_store(spark, root), store.read_episode_table(spark, root)
+
+    back, index = stored("keys", rows.drop("action", "proprio"))
+    assert "action" not in back.columns and messages(V.validate(back, index)) == [K.MISSING_KEYS % ["action", "proprio"]]
+    with pytest.raises(KeyError):
+        V.check_replay_columns(back, index)
+    back, index = stored("torn", rows.withColumn("pixels", F.col("pixels").withField("data", F.lit(b"12"))))
+    assert messages(V.validate(back, index)) == [] and messages(V.validate(back, index, pixel_bytes=True)) == [K.PIXELS_RANK % 1]
+    back, index = stored("text", rows.withColumn("pixels", F.lit("x")))
+    assert messages(V.validate(back, index)) == [K.PIXELS_RANK % 1]
+    back, index = stored("nested", rows, table.withColumn("ep_offset", F.array("ep_offset")))
+    assert messages(V.validate(back, index)) == [K.INDEX_RANK]
+    back, index = stored("none", rows, table.limit(0), verify=False)
+    assert "ep_len" not in index.columns and tuple(V.inspect(back, index).first())[2:] == (2, 4)
+    assert messages(V.validate(back, index)) == [K.MISSING_KEYS % ["ep_len", "ep_offset"]]
+    both = rows.withColumn("action", F.lit(None).cast("array<float>")).withColumn("camera", F.lit("wrist")).unionByName(rows)
+    assert messages(V.validate(both, table)) == [K.MISSING_KEYS % ["action"]]
+
+
 def test_discovery_and_selection(spark, tmp_path):
     root = str(tmp_path / "s")
     assert store.list_stores(spark, root).isEmpty()
@@ -198,14 +253,14 @@ def test_discovery_and_selection(spark, tmp_path):
 
 
 def test_episode_selection(spark, tmp_path):
-    table = table_of(spark, [2, 0, 2], [0, 2, 2])
-    assert store.episode_bounds(table, "train", 2) == (2, 2)
+    table = table_of(spark, [2, 0, 2], [0, 2, 2]).withColumn("camera", F.lit(CAMERA))
+    assert store.episode_bounds(table, "train", CAMERA, 2) == (2, 2)
     with pytest.raises(IndexError):
-        store.episode_bounds(table, "train", 3)
+        store.episode_bounds(table, "train", CAMERA, 3)
     with pytest.raises(IndexError):
-        store.episode_bounds(table, "train", -1)
+        store.episode_bounds(table, "train", CAMERA, -1)
     with pytest.raises(ValueError):
-        store.episode_bounds(table, "train", 1)
+        store.episode_bounds(table, "train", CAMERA, 1)
     root = str(tmp_path / "s")
     write(spark, root)
     chosen = store.select_episode(store.read_store(spark, root), "train", CAMERA, 2, 2)
