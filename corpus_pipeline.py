@@ -15,8 +15,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of every group of near duplicates."""
-    return minhash_tensor.keep_one(docs)
+    """The smallest id of every group of near duplicates, on shingles of five words."""
+    return minhash_tensor.keep_one(docs, width=5)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

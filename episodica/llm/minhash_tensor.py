@@ -208,9 +208,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = SHINGLE, m:
     return whole.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = 80, width: int = SHINGLE) -> DataFrame:
     """The rows of ``docs``, with all their columns, without those that near-duplicate a smaller id."""
-    dropped = near_duplicates(docs.select("doc_id", "text"), percent).where("not kept").select(F.col("doc_id").alias("dropped_id")).distinct()
+    dropped = near_duplicates(docs.select("doc_id", "text"), percent, width).where("not kept").select(F.col("doc_id").alias("dropped_id")).distinct()
     same = docs["doc_id"].cast("long") == dropped["dropped_id"]
     return docs.join(dropped.hint("shuffle_hash"), same, "left_anti")
 

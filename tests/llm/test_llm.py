@@ -345,11 +345,11 @@ def test_passages(spark, odd, none):
 # --- 10 near duplicates
 
 
-def components_of(texts):
+def components_of(texts, width=4):
     sets = {}
     for i, t in texts.items():
         w = (t or "").encode().lower().split()
-        sets[i] = set(zip(*[w[k:] for k in range(4)])) if len(w) >= 4 else {tuple(w)} if w else set()
+        sets[i] = set(zip(*[w[k:] for k in range(width)])) if len(w) >= width else {tuple(w)} if w else set()
     top = {i: i for i in sets}
     ids = sorted(sets)
     for a in ids:
@@ -400,7 +400,7 @@ def test_pipeline(spark, documents):
         before = {r.doc_id: r.text or "" for r in docs.collect()}
         out = stage(spark, docs, SF)
         if name == "near_dedup":
-            assert {r.doc_id for r in out.collect()} == {i for i, (_, _, kept) in components_of(before).items() if kept}
+            assert {r.doc_id for r in out.collect()} == {i for i, (_, _, kept) in components_of(before, 5).items() if kept}
         if name == "mask_secrets":
             assert {r.doc_id for r in out.collect() if r.text != before[r.doc_id]} == {i for i, t in before.items() if secret_ledger.find_spans(t)}
         if k < 4:
