@@ -76,7 +76,7 @@ def jobs(spark, sf_dir, raw, out):
         "a3_inspect": lambda: consume(store_checks.inspect_columns(rows(), table())),
         "j3_assign_slices": lambda: consume(sliced()),
         "j4_attach_frames": lambda: consume(aligned()),
-        "p9_step_window": lambda: consume(signals.step_window(sliced(), 1, 4, 2)),
+        "p9_step_window": lambda: consume(slices.window_rows(rows(), table(), 1, 4, 2, ["split", "camera"])),
         "u1_signals_long": lambda: consume(signals.to_long(rows(), "split", "camera")),
         "f6_f7_pixels": lambda: consume(frames.resize(frames.pixels_from_values(X.pixel_rows(spark, sf_dir)), 13)),
         "u4_decode": lambda: consume(frames.decode(X.text_videos(spark, sf_dir), Q.DECODERS)),

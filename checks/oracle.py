@@ -407,7 +407,18 @@ from pixel_rows, range(0, 192) t(pos)""",
     (b[16 * y + 2 * x + 1] + b[16 * y + 2 * x + 2] + b[16 * y + 2 * x + 9] + b[16 * y + 2 * x + 10] + 2) // 4 as v
   from bytes, range(0, 4) t(y), range(0, 4) u(x))
 select vec_id, copy, string_agg(lpad(hex(v), 2, '0'), '' order by cell) as bytes from small group by 1, 2""",
-    "f7_resize_up": f"with {PIXELS} select vec_id, copy, cast(13 as bigint) as height, cast(169 as bigint) as n from bytes",
+    "f7_resize_up": f"""with {PIXELS}, centres as (
+  select i, greatest(0, least(16 * i - 5, 182)) as place from range(0, 13) t(i)),
+axis as (
+  select i, place // 26 as low, least(place // 26 + 1, 7) as high, (4096 * (place % 26) + 26) // 52 as w from centres),
+cells as (
+  select vec_id, copy, y.i * 13 + x.i as cell, y.w,
+    (b[8 * y.low + x.low + 1] * (2048 - x.w) + b[8 * y.low + x.high + 1] * x.w) // 16 as above,
+    (b[8 * y.high + x.low + 1] * (2048 - x.w) + b[8 * y.high + x.high + 1] * x.w) // 16 as below
+  from bytes, axis y, axis x)
+select vec_id, copy, cast(13 as bigint) as height, string_agg(lpad(hex(
+  (((2048 - w) * above) // 65536 + (w * below) // 65536 + 2) // 4), 2, '0'), '' order by cell) as bytes
+from cells group by 1, 2""",
     "u4_decode_texts": f"with {TEXT_FRAMES} select episode_index, frame_pos, decoder, bytes from frames",
     "a7_decoder_counts": f"with {TEXT_FRAMES} select decoder, count(*) as n_files from files where n > 0 group by 1",
     "u1_signals_long": f"""with {LINE_STORE}, wide as (

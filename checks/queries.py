@@ -488,7 +488,7 @@ def resize_half(spark, sf_dir):
 def resize_up(spark, sf_dir):
     full = frames.pixels_from_values(X.pixel_rows(spark, sf_dir))
     return frames.resize(full, 13).select(
-        "vec_id", "copy", F.col("pixels.height").cast("long").alias("height"), F.length("pixels.data").cast("long").alias("n")
+        "vec_id", "copy", F.col("pixels.height").cast("long").alias("height"), F.hex("pixels.data").alias("bytes")
     )
 
 
@@ -509,16 +509,8 @@ def signals_long(spark, sf_dir):
     return signals.to_long(X.line_rows(spark, sf_dir), "split", "row")
 
 
-def _with_offsets(spark, sf_dir):
-    """Every row of a store with the offset of its slice, as a replay of each episode sees it."""
-    rows = X.line_store(spark, sf_dir)
-    n_rows, _ = materialised(rows.groupBy(*STORE).agg(F.count(F.lit(1)).alias("n_rows")))
-    index = X.line_index(spark, sf_dir).join(n_rows, "split")
-    return slices.assign_slices(rows, index, "n_rows", STORE)
-
-
 def step_window(spark, sf_dir):
-    rows = signals.step_window(_with_offsets(spark, sf_dir), start=1, end=4, stride=2)
+    rows = slices.window_rows(X.line_store(spark, sf_dir), X.line_index(spark, sf_dir), start=1, end=4, stride=2)
     return rows.select(*STORE, "row", "ep_pos", "step_idx")
 
 

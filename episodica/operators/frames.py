@@ -15,6 +15,8 @@ from episodica.functions import fixed as K
 
 Decoder = Callable[[bytes], Iterator[np.ndarray]]
 FRAME_BATCH = 64
+# Pixel values that one numpy call works on.
+BLOCK_VALUES = 1 << 20
 
 
 # --- pixels as arrays of numbers: stays in the JVM -------------------------------------------
@@ -40,23 +42,26 @@ def to_hwc(values: Column, height: Column, width: Column, channels: Column) -> C
 # --- pixels as bytes: Arrow batches with numpy -----------------------------------------------
 
 
+def block_bytes(block: np.ndarray, add_channel: bool = True) -> np.ndarray:
+    """Frames of one shape, stacked on the first axis, as uint8 with the channels last; each frame is scaled by its own maximum."""
+    if block.ndim == 3 and add_channel:
+        block = block[..., None]
+    shape = block.shape[1:]
+    if len(shape) != 3:
+        raise ValueError(f"A frame needs three dimensions, got shape {shape}.")
+    channels = next((axis for axis in (2, 0) if shape[axis] in (1, 3)), None)
+    if channels is None:
+        raise ValueError(f"A frame needs 1 or 3 channels, got shape {shape}.")
+    last = block if channels == 2 else block.transpose(0, 2, 3, 1)
+    if last.dtype.kind == "f":
+        unit = last.max(axis=(1, 2, 3), keepdims=True, initial=0) <= 1
+        last = last * np.where(unit, 255, 1).astype(last.dtype)
+    return np.ascontiguousarray(last if last.dtype == np.uint8 else np.clip(last, 0, 255).astype(np.uint8))
+
+
 def frame_bytes(frame: np.ndarray, add_channel: bool = True) -> np.ndarray:
     """One frame as contiguous uint8 height x width x channel, with 1 or 3 channels."""
-    a = np.asarray(frame)
-    if a.ndim == 2 and add_channel:
-        a = a[..., np.newaxis]
-    if a.ndim != 3:
-        raise ValueError(f"A frame needs three dimensions, got shape {a.shape}.")
-    colour = {1, 3}
-    if a.shape[2] not in colour and a.shape[0] in colour:
-        a = np.moveaxis(a, 0, 2)
-    if a.shape[2] not in colour:
-        raise ValueError(f"A frame needs 1 or 3 channels, got shape {a.shape}.")
-    if a.dtype != np.uint8:
-        if a.dtype.kind == "f" and a.max(initial=0) <= 1:
-            a = a * 255.0
-        a = np.clip(a, 0, 255).astype(np.uint8)
-    return np.ascontiguousarray(a)
+    return block_bytes(np.asarray(frame)[None], add_channel)[0]
 
 
 def _axis_weights(size: int, target: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,17 +73,30 @@ def _axis_weights(size: int, target: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return left, right, np.rint((centre - left) * 2048).astype(np.int32)
 
 
-def resize_frame(frame: np.ndarray, size: int) -> np.ndarray:
-    """Bilinear resize of a uint8 frame to size x size, in fixed point with 11-bit weights."""
-    top, bottom, wy = _axis_weights(frame.shape[0], size)
-    left, right, wx = _axis_weights(frame.shape[1], size)
-    wide = frame.astype(np.int32)  # the largest product is 2048 * (255 * 2048 >> 4) < 2^31
-    rows = wide[:, left] * (2048 - wx)[:, None] + wide[:, right] * wx[:, None]
+def resize_block(block: np.ndarray, size: int) -> np.ndarray:
+    """Bilinear resize of stacked uint8 frames to size x size, in fixed point with 11-bit weights."""
+    top, bottom, wy = _axis_weights(block.shape[1], size)
+    left, right, wx = _axis_weights(block.shape[2], size)
+    wide = block.astype(np.int32)  # the largest product is 2048 * (255 * 2048 >> 4) < 2^31
+    rows = wide[:, :, left] * (2048 - wx)[:, None] + wide[:, :, right] * wx[:, None]
     wy = wy[:, None, None]
-    out = (((2048 - wy) * (rows[top] >> 4)) >> 16) + ((wy * (rows[bottom] >> 4)) >> 16)
+    out = (((2048 - wy) * (rows[:, top] >> 4)) >> 16) + ((wy * (rows[:, bottom] >> 4)) >> 16)
     return ((out + 2) >> 2).astype(np.uint8)
 
 
+def resize_frame(frame: np.ndarray, size: int) -> np.ndarray:
+    """One uint8 frame, resized to size x size."""
+    return resize_block(frame[None], size)[0]
+
+
+def _shape_runs(shapes: np.ndarray, least: int = 1) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours of one shape, of about BLOCK_VALUES pixel values each (a frame counts for ``least`` at least)."""
+    change = np.flatnonzero((shapes[1:] != shapes[:-1]).any(1)) + 1
+    for start, stop in zip([0, *change], [*change, len(shapes)]):
+        step = max(1, BLOCK_VALUES // max(1, least, int(np.prod(shapes[start], dtype=np.int64)))) if stop > start else 1
+        yield from ((at, min(at + step, stop)) for at in range(start, stop, step))
+
+
 def _pixel_array(frames: Sequence[np.ndarray]) -> pa.StructArray:
     return pa.StructArray.from_arrays(
         [
@@ -98,12 +116,13 @@ def pixels_from_values(df: DataFrame, values: str = "values", size: int | None =
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            shapes = zip(*[b.column(n).to_numpy(zero_copy_only=False) for n in ("height", "width", "channels")])
-            numbers = b.column(values)
+            shapes = np.stack([b.column(n).to_numpy(zero_copy_only=False) for n in ("height", "width", "channels")], 1)
+            lists = b.column(values)
+            numbers, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
             frames = []
-            for i, shape in enumerate(shapes):
-                frame = frame_bytes(numbers[i].values.to_numpy(zero_copy_only=False).reshape(shape))
-                frames.append(frame if size is None else resize_frame(frame, size))
+            for start, stop in _shape_runs(shapes, (size or 0) ** 2):
+                block = block_bytes(numbers[at[start] : at[stop]].reshape(stop - start, *shapes[start]))
+                frames.extend(block if size is None else resize_block(block, size))
             yield pa.RecordBatch.from_arrays([*[b.column(n) for n in kept], _pixel_array(frames)], [*kept, "pixels"])
 
     return df.select(*kept, "height", "width", "channels", values).mapInArrow(convert, schema)
@@ -120,11 +139,12 @@ def resize(df: DataFrame, size: int | None) -> DataFrame:
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            *shape, data = b.column("pixels").flatten()
+            shapes = np.stack([n.to_numpy(zero_copy_only=False) for n in shape], 1)
             out = []
-            for p in b.column("pixels"):
-                shape = [p[n].as_py() for n in ("height", "width", "channels")]
-                frame = np.frombuffer(p["data"].as_buffer(), np.uint8).reshape(shape)
-                out.append(resize_frame(frame, size))
+            for start, stop in _shape_runs(shapes, size**2):
+                block = np.frombuffer(b"".join(data[start:stop].to_pylist()), np.uint8).reshape(stop - start, *shapes[start])
+                out.extend(resize_block(block, size))
             yield pa.RecordBatch.from_arrays([*[b.column(n) for n in kept], _pixel_array(out)], [*kept, "pixels"])
 
     return df.select(*kept, "pixels").mapInArrow(convert, schema)

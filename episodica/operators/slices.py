@@ -62,6 +62,27 @@ def assign_slices(
     )
 
 
+def window_rows(
+    rows: DataFrame, slices: DataFrame, start: int = 0, end: int | None = None, stride: int = 1, keys: Sequence[str] = ("split",)
+) -> DataFrame:
+    """The rows at start, start + stride, ... <= end of their slice, with the columns of the slice.
+
+    Only the wanted positions are expanded, as ep_offset plus a multiple of the stride, and met with
+    rows by equality. Positions outside a slice or the store give no row; without ``end`` a slice is
+    taken to its end, and a long one is expanded in two steps.
+    """
+    if stride <= 0 or start < 0 or (end is not None and end < start):
+        raise ValueError(f"Invalid window start={start}, end={end}, stride={stride}.")
+    final = F.col("ep_len") - 1 if end is None else F.least(F.col("ep_len") - 1, F.lit(end))
+    steps = F.floor((final - start) / stride)
+    wanted = slices.where(final >= start).withColumn("stretch", F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(steps, SPREAD_BITS))))
+    if end is None or (end - start) // stride >> SPREAD_BITS:
+        wanted = wanted.repartition(*keys, "ep_pos", "stretch")
+    part = F.sequence(F.shiftleft("stretch", SPREAD_BITS), F.least(steps, F.shiftleft(F.col("stretch") + 1, SPREAD_BITS) - 1))
+    placed = wanted.withColumn("at", F.explode(part)).withColumn("row", F.col("ep_offset") + start + F.col("at") * stride)
+    return rows.join(placed.drop("stretch", "at"), [*keys, "row"])
+
+
 def slice_units(slices: DataFrame, bits: Sequence[int] = UNIT_BITS) -> DataFrame:
     """Each slice cut into whole units: its columns, level and unit. Columns lo and hi bound it."""
 

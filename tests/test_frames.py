@@ -121,3 +121,20 @@ def test_frame_rows_cut_and_skip(spark):
 def test_pixels_schema(videos):
     out = P.decode(videos.where("ep_len > 0"), [("raw", raw_rgb)])
     assert out.schema["pixels"].dataType == K.PIXELS
+
+
+def test_blocks_of_mixed_shapes(spark):
+    """Frames of several shapes in one batch, square or not, give what each gives alone."""
+    rng = np.random.default_rng(5)
+    shapes = [(4, 6, 3), (4, 6, 3), (5, 3, 1), (3, 5, 7), (4, 6, 3), (4, 6, 3), (4, 6, 3)]
+    frames = [rng.uniform(-0.2, 1 if i % 2 else 300, s).astype(np.float32) for i, s in enumerate(shapes)]
+    rows = [(i, f.ravel().tolist(), *f.shape) for i, f in enumerate(frames)]
+    df = spark.createDataFrame(rows, "id int, values array<float>, height int, width int, channels int").coalesce(1)
+    assert list(P._shape_runs(np.array(shapes), 1 << 19)) == [(0, 2), (2, 3), (3, 4), (4, 6), (6, 7)]
+    for size in (None, 3, 9):
+        alone = {i: P.frame_bytes(f) for i, f in enumerate(frames)}
+        alone = {i: f if size is None else P.resize_frame(f, size) for i, f in alone.items()}
+        got = {r.id: r.pixels for r in P.pixels_from_values(df, size=size).collect()}
+        again = {r.id: r.pixels for r in P.resize(P.pixels_from_values(df), size).collect()}
+        for out in (got, again):
+            assert {i: (p.height, p.width, p.channels, bytes(p.data)) for i, p in out.items()} == {i: (*f.shape, f.tobytes()) for i, f in alone.items()}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from episodica.functions import names as N
 from episodica.functions import scalars as S
-from episodica.operators import episodes, signals, splits
+from episodica.operators import episodes, signals, slices, splits
 
 
 def test_parse_range():
@@ -107,3 +107,14 @@ def test_vectors_and_time(spark):
     )
     assert tuple(filled.first()) == ("x", "unknown")
     assert spark.range(1).select(S.utc_now()).first()[0].endswith("+00:00")
+
+
+def test_window_rows_agrees_with_the_filter(spark):
+    rows = spark.range(40).selectExpr("'a' as split", "id as row")
+    index = spark.createDataFrame([("a", 0, 0, 7), ("a", 1, 7, 1), ("a", 2, 5, 20), ("a", 3, 35, 9), ("a", 4, 3, 0)], "split string, ep_pos long, ep_offset long, ep_len long")
+    pairs = slices.assign_slices(rows, index.withColumn("n_rows", F.lit(40)), "n_rows")
+    for window in ((0, None, 1), (1, 4, 2), (2, None, 3), (0, 0, 1), (30, None, 1)):
+        got = sorted((r.ep_pos, r.row) for r in slices.window_rows(rows, index, *window).collect())
+        assert got == sorted((r.ep_pos, r.row) for r in signals.step_window(pairs, *window).collect())
+    with pytest.raises(ValueError):
+        slices.window_rows(rows, index, 3, 2)
