@@ -342,6 +342,25 @@ def test_passages(spark, odd, none):
     assert pairs == {(6, 5), (9, 5)} and chained_passages.passages(none).count() == 0
 
 
+def passage_rows(spark, *docs):
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    return chained_passages.passages(df).collect()
+
+
+def some_words(rng, n):
+    return ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("others", [1, 9])
+def test_passage_whose_parts_have_smaller_holders(spark, others):
+    rng = random.Random(8)
+    x, y = some_words(rng, 40), some_words(rng, 40)
+    docs = [(i, some_words(rng, 9) + x + some_words(rng, 30)) for i in range(others)]
+    docs += [(100 + i, some_words(rng, 30) + y + some_words(rng, 9)) for i in range(others)]
+    rows = passage_rows(spark, *docs, (200, some_words(rng, 20) + x + y + some_words(rng, 7)), (201, some_words(rng, 33) + x + y))
+    assert [(r.doc_id, r.partner_id, r.words) for r in rows] == [(201, 200, 80)]
+
+
 # --- 10 near duplicates
 
 
