@@ -361,6 +361,18 @@ def test_passage_whose_parts_have_smaller_holders(spark, others):
     assert [(r.doc_id, r.partner_id, r.words) for r in rows] == [(201, 200, 80)]
 
 
+def test_later_copies_and_repeated_words(spark):
+    rng = random.Random(9)
+    p, q = some_words(rng, 55), some_words(rng, 60)
+    copies = [w for _ in range(3) for w in p + some_words(rng, 70)]
+    twice = some_words(rng, 9) + q + some_words(rng, 30) + q
+    docs = [(1, some_words(rng, 9) + p + some_words(rng, 9)), (2, copies), (3, twice), (4, ["ha"] * 70 + some_words(rng, 5)), (5, some_words(rng, 5) + ["ha"] * 70)]
+    rows = passage_rows(spark, *docs)
+    assert sorted(r.start for r in rows if (r.doc_id, r.partner_id) == (2, 1)) == [k * len(" ".join(copies[:125]) + " ") for k in range(3)]
+    assert [(r.words, r.end <= r.start, r.partner_end <= r.start) for r in rows if (r.doc_id, r.partner_id) == (3, 3)] == [(60, False, True)]
+    assert (5, 4) in {(r.doc_id, r.partner_id) for r in rows}
+
+
 # --- 10 near duplicates
 
 
