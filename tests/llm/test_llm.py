@@ -373,6 +373,17 @@ def test_later_copies_and_repeated_words(spark):
     assert (5, 4) in {(r.doc_id, r.partner_id) for r in rows}
 
 
+@pytest.mark.parametrize("every", [5, 6, 7])
+def test_passages_down_to_least_similarity(spark, every):
+    rng = random.Random(every)
+    docs = []
+    for i in range(30):
+        p = some_words(rng, 60)
+        changed = ["x" + w if k % every == i % every else w for k, w in enumerate(p)]
+        docs += [(2 * i, some_words(rng, 20) + p + some_words(rng, 20)), (2 * i + 1, some_words(rng, 12) + changed + some_words(rng, 15))]
+    assert {(r.doc_id, r.partner_id) for r in passage_rows(spark, *docs)} == {(2 * i + 1, 2 * i) for i in range(30)}
+
+
 # --- 10 near duplicates
 
 
