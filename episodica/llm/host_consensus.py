@@ -9,7 +9,7 @@
    falls back to its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are left out by tag, role and
-class anywhere in the page.
+class anywhere in the page; see ``_without_named`` for classes that don't leave out.
 
 Defined results: null and empty pages, and pages without text outside what is left out, give the empty text;
 unclosed and wrongly nested tags end where an enclosing element ends; a page without a host votes as the
@@ -52,6 +52,8 @@ WORDS = frozenset(
     "signup login share sharing social comment comments commentlist respond reply replies disqus form pagination pager toolbar".split()
 )
 MAIN = frozenset("article main".split())
+# "has-sidebar" tells what else is on the page.
+STATES = frozenset("has with no without not is hide show".split())
 
 
 @dataclass
@@ -60,6 +62,7 @@ class Element:
     path: str
     parent: int
     out: bool
+    named: int = 0
     score: float = 0.0
 
 
@@ -79,6 +82,39 @@ def _labels(attributes: str) -> tuple[list[str], str, bool]:
     return words, role, hidden
 
 
+def _named(words: list[str]) -> int:
+    """2 if a class or id is one of ``WORDS``, 1 if such a word is a part of one, else 0."""
+    named = 0
+    for w in words:
+        parts = [x for x in re.split(r"[^a-z]+", w) if x]
+        if len(parts) == 1 and parts[0] in WORDS:
+            return 2
+        named |= any(x in WORDS and not (k and parts[k - 1] in STATES) for k, x in enumerate(parts))
+    return int(named)
+
+
+def _without_named(elements: list[Element], blocks: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
+    """Mark what is left out by its name, and return the other blocks.
+
+    Articles and main elements are not left out so, nor those with only a part of such a name that hold most of the text. If
+    nothing would remain, names don't count on the page.
+    """
+    size = [0] * len(elements)
+    for k, text, _ in blocks:
+        size[k] += len(text)
+    for i in range(len(elements) - 1, 0, -1):
+        size[elements[i].parent] += size[i]
+    out = [e.out for e in elements]
+    for i, e in enumerate(elements[1:], 1):
+        main = e.tag in MAIN or e.path.endswith(".main")
+        out[i] = e.out or out[e.parent] or not main and (e.named == 2 or e.named == 1 and 2 * size[i] < size[0])
+    if kept := [b for b in blocks if not out[b[0]]]:
+        for e, o in zip(elements, out):
+            e.out = o
+        return kept
+    return blocks
+
+
 def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
     """The block elements of a page, and its blocks of text: (element, text, characters in links)."""
     elements = [Element("", "", -1, False)]
@@ -122,16 +158,15 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:
         if tag in VOID:
             continue
         words, role, hidden = _labels(m[4] or "")
-        parts_of = {x for w in words for x in re.split(r"[^a-z]+", w)}
-        named = tag not in ("html", "body") and bool(parts_of & WORDS)
-        out = elements[stack[-1]].out or tag in LEFT_OUT or role in ROLES or hidden or named
+        named = 0 if tag in ("html", "body") else _named(words)
+        out = elements[stack[-1]].out or tag in LEFT_OUT or role in ROLES or hidden
         name = tag + "".join(sorted("." + re.sub(r"\d+", "0", w) for w in words if w[0] != "#")) + (".main" if role == "main" else "")
-        elements.append(Element(tag, elements[stack[-1]].path + ">" + name, stack[-1], out))
+        elements.append(Element(tag, elements[stack[-1]].path + ">" + name, stack[-1], out, named))
         stack.append(len(elements) - 1)
     if at < len(page):
         parts.append(page[at:])
     flush()
-    return elements, blocks
+    return elements, _without_named(elements, blocks)
 
 
 def scored(page: str) -> tuple[list[Element], list[tuple[int, str, int]]]:

@@ -154,6 +154,15 @@ def test_pages_odd(spark):
 # --- 4 personal data
 
 
+@pytest.mark.parametrize("begin", ['<div class="page has-sidebar">', '<main class="content with-comments">', '<article class="post no-ads">', '<div id="social-policy">', '<div class="ads">'])
+def test_class_of_the_whole_article(begin):
+    text = "The text of this article goes on for quite a while and has no links."
+    page = f'<html><body>{begin}<p>{text}</p><div class="sidebar"><p>Aside.</p></div><div class="site-footer"><p>Foot.</p></div></{begin[1:].split()[0]}></body></html>'
+    path = max(votes := host_consensus.votes(page), key=votes.get)
+    assert host_consensus.extract(page, path).split("\n")[0] == text
+    assert begin == '<div class="ads">' or host_consensus.extract(page, path) == text
+
+
 def base_pii(text):
     def luhn(d):
         return sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
