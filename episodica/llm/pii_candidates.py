@@ -3,10 +3,10 @@
 Generators with high recall propose spans that may overlap: the four base kinds (matches that fail the
 base's checks included) and looser forms (addresses written with "at", numbers in groups without a plus).
 Boosted trees score every candidate from its format and its context. They learn from what the base rules say of
-the candidates: features are small integers, so all candidates of the corpus reduce to at most
+the base candidates and, for loose ones, from their normal form and context; neither the kind nor the checks are features. These are small integers, so all candidates of the corpus reduce to at most
 ``MAX_CELLS`` counted combinations, and the trees are fitted on those counts. The threshold is calibrated there: the
 lowest score with the wanted precision among the candidates above it. Spans returned are those of the base
-rules and every other candidate at or above the threshold. Scores are CASE expressions over arrays,
+rules and every other candidate at or above the threshold outside them. Scores are CASE expressions over arrays,
 so no row is shuffled or leaves the JVM.
 
 Positions come from ``split`` and ``regexp_extract_all``: what lies between matches gives the places of the
@@ -38,7 +38,7 @@ LOOSE = {
 }
 KINDS = (*BASE, *LOOSE)
 CONTEXT = r"(?i)(mail|tel|phone|call|fax|mobile|card|visa|ip|address|contact)[^A-Za-z0-9]{0,6}$"
-FEATURES = {"kind": 6, "digits": 8, "letters": 3, "marks": 4, "context": 2, "edge": 2, "valid": 2}
+FEATURES = {"digits": 8, "letters": 3, "marks": 4, "context": 2, "edge": 2, "at": 3}
 MAX_CELLS = int(np.prod(list(FEATURES.values())))
 ROUNDS, RATE, PRECISION = 40, 0.3, 0.98
 SPAN = "array<struct<kind:int,start:bigint,end:bigint,m:string>>"
@@ -110,7 +110,9 @@ def candidates(docs: DataFrame) -> DataFrame:
         before = F.substring(F.col("text"), F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24)))
         around = F.concat(F.substring(F.col("text"), F.greatest(start, F.lit(1)), F.least(start, F.lit(1))), F.lit(" "), F.substring(F.col("text"), c["end"].cast("int") + 1, F.lit(1)))
         letters = F.length(F.regexp_replace(m, "[^A-Za-z]", ""))
-        valid = passes(c["kind"], m)
+        valid, named, n = passes(c["kind"], m), before.rlike(CONTEXT), F.length(_digits(m))
+        # A loose address is one once its marks are put back; a loose number of a phone's length counts where its context or brackets say so.
+        loose = F.when(c["kind"] == 4, True).when(c["kind"] == 5, n.between(8, 15) & (named | m.startswith("("))).otherwise(False)
         return F.struct(
             c["kind"].alias("kind"),
             c["start"].alias("start"),
@@ -118,9 +120,10 @@ def candidates(docs: DataFrame) -> DataFrame:
             F.least(F.length(_digits(m)) / 3, F.lit(7)).cast("int").alias("digits"),
             F.least(letters / 8, F.lit(2)).cast("int").alias("letters"),
             F.least(F.length(F.regexp_replace(m, "[A-Za-z0-9]", "")), F.lit(3)).cast("int").alias("marks"),
-            before.rlike(CONTEXT).cast("int").alias("context"),
+            named.cast("int").alias("context"),
             around.rlike("[A-Za-z0-9]").cast("int").alias("edge"),
-            F.when(c["kind"] < 4, valid).otherwise(luhn(_digits(m))).cast("int").alias("valid"),
+            F.when(m.rlike("@|[\\[(]at[\\])]"), 2).when(m.rlike(r"^[+(]"), 1).otherwise(0).alias("at"),
+            (valid | loose).alias("label"),
             valid.alias("base"),
         )
 
@@ -184,7 +187,7 @@ def detected(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     found = stored(candidates(docs), "candidates")
     names = list(FEATURES)
     one = found.select(F.explode("found").alias("c"))
-    counted = one.groupBy(*[F.col(f"c.{n}").alias(n) for n in names]).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("c.base").cast("int")).alias("yes"))
+    counted = one.groupBy(*[F.col(f"c.{n}").alias(n) for n in names]).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("c.label").cast("int")).alias("yes"))
     rows = sorted(map(tuple, counted.collect()))
     data = np.array(rows, np.int64).reshape(len(rows), len(names) + 2)
     cells, weight, positive = data[:, : len(names)], data[:, -2].astype(float), data[:, -1].astype(float)
@@ -196,11 +199,14 @@ def detected(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
             return c["base"]
         return c["base"] | (sum((_case(t, c, names) for t in trees), F.lit(0.0)) >= F.lit(least))
 
+    def alone(c: Column) -> Column:
+        return c["base"] | ~F.exists("found", lambda b: b["base"] & (b["start"] <= c["start"]) & (b["end"] >= c["end"]))
+
     shown = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
     return found.select(
         "doc_id",
         F.transform(F.filter("found", lambda c: c["base"]), shown).alias("base"),
-        F.transform(F.filter("found", chosen), shown).alias("spans"),
+        F.transform(F.filter("found", lambda c: chosen(c) & alone(c)), shown).alias("spans"),
     )
 
 

@@ -192,6 +192,13 @@ def test_pii_odd(spark, odd, none):
     assert pii_candidates.detected(odd).count() == len(ODD) and pii_candidates.detected(none).count() == 0
 
 
+def test_pii_loose_forms(spark):
+    texts = ["mail ann@site.org or call +49 30 5557713", "write to bob [at] host [dot] com", "office (017) 555-7713 is open", "at 300.1.1.1 and 4111 1111 1111 1112"] * 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii_candidates.detected(df).select("doc_id", pii_candidates.written("spans").alias("spans")).collect()}
+    assert [got[i] for i in range(4)] == ["email:5:17,phone:26:40", "email_loose:9:32", "phone_loose:7:21", ""]
+
+
 # --- 5 decontamination
 
 
