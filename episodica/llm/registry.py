@@ -5,6 +5,8 @@ from __future__ import annotations
 from episodica.llm import (
     byte_bpe,
     chained_passages,
+    compression_lang,
+    fim_wavelet,
     host_consensus,
     imatch,
     minhash_tensor,
@@ -26,6 +28,8 @@ MODULES = (
     quality_gam,
     chained_passages,
     minhash_tensor,
+    compression_lang,
+    fim_wavelet,
 )
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
