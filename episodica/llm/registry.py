@@ -11,6 +11,7 @@ from episodica.llm import (
     imatch,
     minhash_tensor,
     minimax_shards,
+    phrase_trie,
     pii_candidates,
     qgram_decontam,
     quality_gam,
@@ -29,6 +30,7 @@ MODULES = (
     chained_passages,
     minhash_tensor,
     compression_lang,
+    phrase_trie,
     fim_wavelet,
 )
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
