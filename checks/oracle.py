@@ -51,6 +51,8 @@ def recipe(name: str, base: str) -> str:
 
 CONV_STEPS = f"{CONV_BASE}, {recipe('conv_steps', 'conv_base')}"
 LINE_STEPS = f"{LINE_BASE}, {recipe('line_steps', 'line_base')}"
+REPEATED = f"""{LINE_STEPS}, repeated_steps as (
+  select * replace (case when episode_index % 3 = 0 then 7 else episode_index // 10 end as "index") from line_steps)"""
 EVENT_STEPS = """event_steps as (
   select user_id as episode_index, row_number() over (partition by user_id order by event_id) - 1 as frame_index,
     event_type = 'purchase' as done, event_id as "index"
@@ -100,18 +102,21 @@ bytes as (
 # --- quality -------------------------------------------------------------------------------
 
 
-def runs(view: str, split: str = "") -> str:
-    """CTE ``runs`` of a view; ``split`` names the column of splits that are checked apart."""
+def runs(view: str, split: str = "", order: str = '"index"', rank: str = '"index"') -> str:
+    """CTE ``runs`` of a view; ``split`` names the column of splits that are checked apart.
+
+    ``order`` is the order of the rows, ``rank`` one number or struct that says the same inside a run.
+    """
     by, also = (f"partition by {split}", f"{split}, ") if split else ("", "")
     return f"""marked as (
-  select *, lag(episode_index) over ({by} order by "index") as pe, lag(frame_index) over ({by} order by "index") as ps
+  select *, lag(episode_index) over ({by} order by {order}) as pe, lag(frame_index) over ({by} order by {order}) as ps
   from {view}),
 opened as (select *, case when pe is null or pe <> episode_index then 1 else 0 end as o from marked),
-numbered as (select *, sum(o) over ({by} order by "index" rows unbounded preceding) as run from opened),
+numbered as (select *, sum(o) over ({by} order by {order} rows unbounded preceding) as run from opened),
 folded as (
   select {also}episode_index, run, min("index") as run_start, max("index") as run_end, count(*) as n_rows,
-    arg_min(frame_index, "index") as first_step, bool_or(o = 0 and frame_index <> ps + 1) as step_gap,
-    arg_max(done, "index") as last_done, count(*) filter (where done) as n_done
+    arg_min(frame_index, {rank}) as first_step, bool_or(o = 0 and frame_index <> ps + 1) as step_gap,
+    arg_max(done, {rank}) as last_done, count(*) filter (where done) as n_done
   from numbered group by {also}episode_index, run),
 runs as (
   select * exclude (run), row_number() over (partition by {also}episode_index order by run_start) > 1 as again
@@ -305,6 +310,31 @@ from lineitem join splits on l_orderkey >= lo and l_orderkey < hi group by 1""",
 select split, episode_index, "index" from line_steps join more on episode_index >= lo and episode_index < hi""",
     "j2_camera_fan_out": f"""with {LINE_BASE}, {CAMS}
 select camera, ep as episode_index, step0 as frame_index, ord as "index" from line_base, cameras""",
+    "w6_row_position_repeated": f"""with {REPEATED} select episode_index, frame_index, "index",
+  row_number() over (order by "index", episode_index, frame_index) - 1 as "row" from repeated_steps""",
+    "w1_runs_repeated": f"""with {REPEATED}, {runs('repeated_steps', order='"index", episode_index, frame_index',
+        rank='struct_pack(a := "index", b := frame_index)')} {RUN_ROWS}""",
+    "t1_transitions": f"""with {LINE_BASE}, vectors as (
+  select ep as episode_index, {RECIPE['frame_index']} as frame_index, quantity, price, discount, tax from line_base),
+paired as (select *, lead(frame_index) over w as next_frame, lead(quantity) over w as q1, lead(price) over w as p1,
+    lead(discount) over w as d1, lead(tax) over w as t1
+  from vectors window w as (partition by episode_index order by frame_index))
+select episode_index, frame_index, next_frame, cast(quantity as double) as state_0, cast(price as double) as state_1,
+  cast(discount as double) as state_2, cast(tax as double) as state_3, cast(q1 as double) as next_state_0,
+  cast(p1 as double) as next_state_1, cast(d1 as double) as next_state_2, cast(t1 as double) as next_state_3,
+  cast(quantity as double) as action_0, cast(discount as double) as action_1
+from paired where next_frame is not null""",
+    "t2_goal_topk": """with distances as (
+  select g.vec_id as goal_id, e.vec_id, list_sum(list_transform(list_zip(e.embedding, g.embedding),
+    lambda x: (cast(x[1] as double) - x[2]) * (cast(x[1] as double) - x[2]))) as distance
+  from embeddings g, embeddings e where g.vec_id % 100 = 0)
+select goal_id, row_number() over (partition by goal_id order by distance, vec_id) as rank, vec_id, round(distance, 6) as distance
+from distances qualify rank <= 10""",
+    "t3_normalise_channels": f"""with {PIXELS}, flat as (
+  select vec_id, copy, unnest(list_concat(b, list_reverse(b), b)) as v, unnest(range(192)) as pos from bytes)
+select vec_id, copy, pos, round((cast(v as double) / 255 - case pos % 3 when 0 then {K.CHANNEL_MEAN[0]} when 1 then {K.CHANNEL_MEAN[1]}
+  else {K.CHANNEL_MEAN[2]} end) / case pos % 3 when 0 then {K.CHANNEL_STD[0]} when 1 then {K.CHANNEL_STD[1]} else {K.CHANNEL_STD[2]} end, 9) as value
+from flat""",
     "w6_row_position": f"""with {LINE_STEPS}
 select episode_index, "index", row_number() over (order by "index") - 1 as "row" from line_steps""",
     "w6_row_position_per_split": f"""with {LINE_STEPS}, {ORDER_SPLITS}

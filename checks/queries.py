@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks import views as X
 from episodica.functions import names, scalars
-from episodica.operators import episodes, frames, quality, signals, slices, splits, store_checks, summary
+from episodica.operators import episodes, frames, nearest, quality, signals, slices, splits, store_checks, summary, transitions
 from episodica.operators.ordering import materialised, row_position
 from episodica.plans.check import check_stores
 from episodica.plans.convert import attributes, convert
@@ -173,6 +173,38 @@ def row_positions_per_split(spark, sf_dir):
     return row_position(steps, group=["split"]).select("split", "episode_index", "index", "row")
 
 
+def row_positions_repeated(spark, sf_dir):
+    """Positions where a third of all rows share one order value; ranges of more than 1,000 rows are cut further."""
+    return row_position(X.repeated_steps(spark, sf_dir), crowd=1000).select("episode_index", "frame_index", "index", "row")
+
+
+def runs_repeated(spark, sf_dir):
+    return quality.runs(X.repeated_steps(spark, sf_dir), crowd=1000)
+
+
+def step_transitions(spark, sf_dir):
+    """Successive steps of every episode; ranges of two frames, so that most pairs lie across a border."""
+    pairs = transitions.transitions(X.line_steps(spark, sf_dir), bits=(1, 20, 20))
+    vectors = [("state", 4), ("next_state", 4), ("action", 2)]
+    cells = [F.get(n, F.lit(i)).cast("double").alias(f"{n}_{i}") for n, size in vectors for i in range(size)]
+    return pairs.select("episode_index", "frame_index", "next_frame", *cells)
+
+
+def goal_topk(spark, sf_dir):
+    """The 10 nearest vectors of every hundredth one."""
+    rows = X.table(spark, sf_dir, "embeddings")
+    goals = rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("goal_id"), F.col("embedding").alias("goal"))
+    return nearest.goal_topk(rows, goals, 10).withColumn("distance", F.round("distance", 6))
+
+
+def normalise_channels(spark, sf_dir):
+    rows = X.pixel_rows(spark, sf_dir).select("vec_id", "copy", frames.normalise_values(F.col("values")).alias("b"))
+    three = F.concat("b", F.reverse("b"), F.col("b"))
+    return rows.select("vec_id", "copy", F.posexplode(frames.normalise_channels(three)).alias("pos", "value")).select(
+        "vec_id", "copy", F.col("pos").cast("long").alias("pos"), F.round("value", 9).alias("value")
+    )
+
+
 def lengths_declared(spark, sf_dir):
     return episodes.lengths(X.episodes_meta(spark, sf_dir))
 
@@ -707,6 +739,11 @@ QUERIES = {
     "j2_camera_fan_out": camera_fan_out,
     "w6_row_position": row_positions,
     "w6_row_position_per_split": row_positions_per_split,
+    "w6_row_position_repeated": row_positions_repeated,
+    "w1_runs_repeated": runs_repeated,
+    "t1_transitions": step_transitions,
+    "t2_goal_topk": goal_topk,
+    "t3_normalise_channels": normalise_channels,
     "a1_lengths_declared": lengths_declared,
     "a1_lengths_from_bounds": lengths_from_bounds,
     "w2_o2_episode_offsets": episode_offsets,

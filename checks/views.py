@@ -75,6 +75,12 @@ def line_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _recipe(line_base(spark, sf_dir), "action", "state")
 
 
+def repeated_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose ``index`` repeats: a third of all episodes share one value, the others lie ten to a value."""
+    index = F.expr("case when episode_index % 3 = 0 then 7 else episode_index div 10 end")
+    return line_steps(spark, sf_dir).withColumn("index", index)
+
+
 def event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
     return row_position(events, order="event_id", group=["user_id"], name="frame_index").select(

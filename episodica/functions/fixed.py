@@ -36,6 +36,9 @@ NO_ACTION = "kept_all"
 COMPRESSIONS = ("none", "lzf", "gzip")
 STORE_MODES = ("inspect", "validate")
 UNKNOWN = "unknown"
+# Mean and standard deviation of the channels (red, green, blue) of ImageNet, at values 0..1.
+CHANNEL_MEAN = (0.485, 0.456, 0.406)
+CHANNEL_STD = (0.229, 0.224, 0.225)
 
 # --- source quality messages, in the order they appear inside one run -----------------------
 NOT_CONTIGUOUS = "Episode rows are not contiguous."

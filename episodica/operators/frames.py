@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from episodica.functions import fixed as K
 
 Decoder = Callable[[bytes], Iterator[np.ndarray]]
+Opener = Callable[[str], bytes]
 FRAME_BATCH = 64
 # Pixel values that one numpy call works on.
 BLOCK_VALUES = 1 << 20
@@ -39,6 +43,18 @@ def to_hwc(values: Column, height: Column, width: Column, channels: Column) -> C
     return F.transform(F.sequence(F.lit(0), height * width * channels - 1), lambda i: F.get(values, source(i)))
 
 
+def normalise_channels(values: Column, mean: Sequence[float] = K.CHANNEL_MEAN, std: Sequence[float] = K.CHANNEL_STD) -> Column:
+    """Values 0..255 of a channel-last frame as (value / 255 - mean) / std of their channel (array<double>).
+
+    There are as many channels as means; the k-th value is of channel k modulo that number.
+    """
+    if len(mean) != len(std) or not len(mean) or 0 in std:
+        raise ValueError("Every channel needs a mean and a standard deviation that is not zero.")
+    means, stds = (F.array(*[F.lit(float(x)) for x in xs]) for xs in (mean, std))
+    channel = lambda i: i % len(mean)
+    return F.transform(values, lambda v, i: (v.cast("double") / 255 - F.get(means, channel(i))) / F.get(stds, channel(i)))
+
+
 # --- pixels as bytes: Arrow batches with numpy -----------------------------------------------
 
 
@@ -160,9 +176,13 @@ def decode(
     expected: str | None = None,
     fail_short: bool = False,
     batch: int = FRAME_BATCH,
+    opener: Opener | None = None,
 ) -> DataFrame:
     """One row per frame: the columns of ``videos`` but content, frame_pos, decoder, pixels.
 
+    Files without a ``content`` are opened at their ``path`` by ``opener`` (``read_file`` by default) in the task that
+    decodes them, one at a time, so that no list of files and no bytes of theirs go through the driver or a shuffle.
+
     ``decoders`` is an ordered list of (name, bytes -> iterator of frames). A decoder is passed
     over if it fails, or has nothing, at the first frame; a failure later on raises. With an
     ``expected`` column, decoding stops at that many frames and skips files that expect none;
@@ -180,7 +200,7 @@ def decode(
             T.StructField("pixels", K.PIXELS),
         ]
     )
-    arrow = to_arrow_schema(schema)
+    arrow, carried, opener = to_arrow_schema(schema), "content" in videos.columns, opener or read_file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -190,7 +210,8 @@ def decode(
                 if most is not None and most <= 0:
                     continue
                 who = one.select(names).to_pylist()[0]
-                name, frames = _open(one.column("content")[0].as_py(), decoders, str(who))
+                content = one.column("content")[0].as_py() if carried else opener(one.column("path")[0].as_py())
+                name, frames = _open(content, decoders, str(who))
                 at, held = 0, []
                 for frame in frames:
                     pixels = frame_bytes(frame)
@@ -206,7 +227,20 @@ def decode(
                 if fail_short and most is not None and at + len(held) < most:
                     raise RuntimeError(f"Video ended early: {at + len(held)} of {most} frames ({who}).")
 
-    return videos.select(*names, "content").mapInArrow(run, schema)
+    return videos.select(*names, *(["content"] if carried else [])).mapInArrow(run, schema)
+
+
+def read_file(path: str) -> bytes:
+    """The content of a file named by a Hadoop path: on this machine's file system or one that Arrow knows."""
+    scheme, found, rest = path.partition(":")
+    if not found or scheme == "file":
+        name = rest if found else path
+        with open(re.sub("^/+", "/", name), "rb") as file:
+            return file.read()
+    host, _, name = rest.lstrip("/").partition("/")
+    system, name = fs.FileSystem.from_uri(f"{scheme}://{host}/{quote(name)}")
+    with system.open_input_stream(name, compression=None) as file:
+        return file.read()
 
 
 def _frame_batch(one: pa.RecordBatch, names, at: int, decoder: str, frames, schema: pa.Schema) -> pa.RecordBatch:
@@ -258,9 +292,11 @@ def frame_rows(frames: DataFrame, offset: str = "ep_offset", length: str = "ep_l
     return frames.where((at >= 0) & (at < F.col(length))).withColumn("row", F.col(offset) + at)
 
 
-def attach_frames(rows: DataFrame, frames: DataFrame, keys: Sequence[str] = ("split", "camera")) -> DataFrame:
-    """Rows with their frame, joined on the store position, which is unique on both sides."""
-    return rows.join(frames.select(*keys, "row", "pixels"), [*keys, "row"], "left")
+def attach_frames(
+    rows: DataFrame, frames: DataFrame, keys: Sequence[str] = ("split", "camera"), columns: Sequence[str] = ("pixels",)
+) -> DataFrame:
+    """Rows with ``columns`` of their frame, joined on the store position, which is unique on both sides."""
+    return rows.join(frames.select(*keys, "row", *columns), [*keys, "row"], "left")
 
 
 def frame_count_issues(

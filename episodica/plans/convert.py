@@ -2,26 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from episodica.functions import fixed as K
 from episodica.operators.episodes import episode_table, lengths
-from episodica.operators.frames import FRAME_BATCH, Decoder, attach_frames, decode, frame_rows
-from episodica.operators.ordering import materialised, row_position
-from episodica.operators.quality import DirtyEpisodes, check_policy, drop_dirty, issue_lists, source_issues
+from episodica.operators.frames import FRAME_BATCH, Decoder, Opener, attach_frames, decode, frame_rows, read_file
+from episodica.operators.ordering import dropping_tables, materialised, row_position, scan
+from episodica.operators.quality import DirtyEpisodes, check_policy, issue_lists, run_issues, runs
 from episodica.operators.splits import assign_splits, fan_out, resolve_cameras
 from episodica.operators.summary import episode_status, requested_episodes, split_summary
 from episodica.sources.reports import write_conversion_report
-from episodica.sources.steps import canonical_steps, null_keys, read_episodes, read_info, read_steps, read_videos
-from episodica.sources.store import block_bits, check_compression, store_rows, with_proprio, write_store
+from episodica.sources.steps import canonical_steps, no_key, read_episodes, read_info, read_steps, read_videos
+from episodica.sources.store import BLOCK_BYTES, DECODER, OPENS, block_bits, check_compression, produced, store_rows, with_proprio, write_store
 
-# Wanted videos that one list sent to every executor may hold (about 100 bytes each).
-LISTED_VIDEOS = 500_000
+# Episodes whose offsets are sent to every executor (about 50 bytes each); a longer table is joined by a shuffle.
+LISTED_EPISODES = 500_000
+# Videos that one task opens, and most tasks.
+FILES_A_TASK, MOST_TASKS = 16, 100_000
 
 
 def convert(
@@ -40,11 +40,13 @@ def convert(
     batch: int = FRAME_BATCH,
     videos: DataFrame | None = None,
     report: str | None = None,
+    opener: Opener = read_file,
 ) -> DataFrame:
     """Run the whole job and return the split summary. The report is written on failure too.
 
-    ``videos`` (episode_index, camera, content, optional frame_offset) replaces the files that
-    are found below the root by their names.
+    ``videos`` (episode_index, camera, optional frame_offset, and path or content) replaces the files that are
+    found below the root by their names. Files are opened by ``opener`` (path -> bytes) in the task that decodes
+    them. The job has a session of its own, so its settings reach no other query, and deletes its intermediate tables.
     """
     check_policy(policy)
     check_compression(compression)
@@ -52,6 +54,24 @@ def convert(
         raise ValueError(f"image size must be positive, got {image_size}.")
     if batch <= 0:
         raise ValueError(f"batch must be positive, got {batch}.")
+    spark = own_session(spark)
+    with dropping_tables(spark):
+        return _convert(spark, root, out, repo_id, decoders, splits, cameras, image_size, compression, overwrite, require_terminal_done, policy, batch, videos, report, opener)
+
+
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings, in which a join uses sides that are spread by some of its keys."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return own
+
+
+def _convert(
+    spark, root, out, repo_id, decoders, splits, cameras, image_size, compression, overwrite, require_terminal_done, policy, batch, videos, report, opener
+) -> DataFrame:
     info = read_info(spark, root)
     bounds = info.bounds(splits)
     cameras = resolve_cameras(list(info.cameras), cameras)
@@ -62,23 +82,27 @@ def convert(
         "image_size": image_size if image_size is not None else "native",
         "micro_batch_size": batch,
         "camera_keys": ",".join(cameras),
+        "decoders": ",".join(name for name, _ in decoders),
     }
 
     source = canonical_steps(read_steps(spark, root, K.SOURCE_COLUMNS))
     steps = assign_splits(source, bounds)
-    if not null_keys(steps).isEmpty():
+    keys = Observation()
+    found = runs(steps.observe(keys, F.count_if(no_key()).alias("n_null")), ["split"])
+    if keys.get["n_null"]:
         raise ValueError("frame_index and index must not be null in the chosen splits.")
+    found, _ = materialised(found)
 
-    issues = source_issues(steps, ["split"], require_terminal_done=require_terminal_done)
-    issues, n_issues = materialised(issues)
+    issues, n_issues = materialised(run_issues(found, ["split"], require_terminal_done))
     status, _ = materialised(episode_status(requested_episodes(spark, bounds), issues, policy))
-    summary = split_summary(status, policy)
+    rows = split_summary(status, policy)
+    summary = spark.createDataFrame(rows.collect(), rows.schema)
 
-    def write_report(state: str) -> None:
+    def write_report(state: str, files: DataFrame | None = None) -> None:
         if report is not None:
             messages = issue_lists(issues, ["split"])
             detailed = status.join(messages, ["split", "episode_index"], "left")
-            write_conversion_report(summary, detailed, report, repo_id, state, options)
+            write_conversion_report(summary, detailed, report, repo_id, state, options, files)
 
     if n_issues and policy == "fail":
         write_report("failed")
@@ -90,77 +114,88 @@ def convert(
         raise DirtyEpisodes(f"No episodes are left in splits {empty}.")
 
     kept = status.where("kept").select("split", "episode_index")
-    table, _ = materialised(episode_table(lengths(read_episodes(spark, root), kept)))
-    kept_steps = drop_dirty(steps, issues, ["split"]) if policy == "drop" else steps
-    check_totals(kept_steps, table)
-
-    rows = with_proprio(store_rows(row_position(kept_steps, group=["split"])))
-    rows = fan_out(rows, cameras)
-    files = read_videos(spark, root) if videos is None else videos
-    opened = (lambda paths: read_videos(spark, root, paths=paths)) if videos is None else None
-    located = locate(fan_out(table.where("ep_len > 0"), cameras), files, len(bounds) * len(cameras), opened)
-    frames = frame_rows(decode(located, decoders, image_size, expected="expected", fail_short=True, batch=batch))
-    with laid_out_joins(spark):
-        write_store(
-            attach_by_block(rows, frames, block_bits(frame_size(info.cameras, cameras, image_size))),
-            table,
-            attributes(spark, repo_id, info.fps, [b[0] for b in bounds], cameras),
-            out,
-            "overwrite" if overwrite else "error",
-            compression,
-        )
-    write_report("ok")
+    table, n_episodes = materialised(episode_table(lengths(read_episodes(spark, root), kept)))
+    n_rows, in_place = check_totals(found, table)
+    rows = fan_out(with_proprio(store_rows(positioned(steps, table, n_episodes, in_place))), cameras)
+
+    files = read_videos(spark, root).drop("content") if videos is None else videos
+    located = locate(fan_out(table.where("ep_len > 0"), cameras), files)
+    frames = frame_rows(decode(located, decoders, image_size, expected="expected", fail_short=True, batch=batch, opener=opener))
+    size = frame_size(info.cameras, cameras, image_size)
+    n_tasks = store_tasks(n_rows * len(cameras), size, spark.sparkContext.defaultParallelism)
+    laid_out = attach_by_block(rows, frames, block_bits(size), n_tasks, [name for name, _ in decoders])
+    named = attributes(spark, repo_id, info.fps, [b[0] for b in bounds], cameras)
+    written = write_store(laid_out, table, named, out, "overwrite" if overwrite else "error", compression)
+    write_report("ok", produced(spark, out, written))
     return summary
 
 
-def check_totals(steps: DataFrame, table: DataFrame) -> None:
-    """Every split has rows, as many as its episode table declares."""
-    actual = steps.groupBy("split").agg(F.count(F.lit(1)).alias("actual"))
-    declared = table.groupBy("split").agg(F.sum("ep_len").alias("declared"), F.count_if(F.col("ep_len").isNull()).alias("unknown"))
-    for r in declared.join(actual, "split", "left").na.fill(0).collect():
+def check_totals(found: DataFrame, table: DataFrame) -> tuple[int, bool]:
+    """Every split has rows, as many as its episode table declares: how many rows, and whether they lie in place.
+
+    ``found`` are the runs of the steps. Rows lie in place if in every split the episodes follow each other by
+    number, each in one run of frames 0, 1, 2, ... as long as declared; then a row's position is the offset of its
+    episode plus its frame number, and no scan over the rows is needed to find it.
+    """
+    per_episode = found.groupBy("split", "episode_index").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.min("run_start").alias("start"),
+        F.max("run_end").alias("end"),
+        ((F.count(F.lit(1)) == 1) & (F.min("first_step") == 0) & ~F.bool_or("step_gap")).alias("regular"),
+    )
+    joined = table.join(per_episode, ["split", "episode_index"], "left")
+    followed = scan(joined, "ep_pos", ["split"], maxima={"before": F.col("end")})
+    ordered = F.coalesce(F.col("before") <= F.col("start"), F.lit(True))
+    fits = F.coalesce(F.col("regular") & (F.col("n_rows") == F.col("ep_len")), F.col("n_rows").isNull() & (F.col("ep_len") == 0))
+    per_split = followed.groupBy("split").agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("actual"),
+        F.sum("ep_len").alias("declared"),
+        F.count_if(F.col("ep_len").isNull()).alias("unknown"),
+        F.bool_and(F.coalesce(ordered & fits, F.lit(False))).alias("in_place"),
+    )
+    totals = per_split.collect()
+    for r in totals:
         if r.unknown:
             raise KeyError(f"{r.unknown} episodes of split {r.split!r} have no metadata.")
         if not r.actual:
             raise RuntimeError(f"Split {r.split!r} has no frames.")
         if r.actual != r.declared:
             raise RuntimeError(f"Split {r.split!r} has {r.actual} rows, but its episodes declare {r.declared}.")
+    return sum(r.actual for r in totals), all(r.in_place for r in totals)
 
 
-def locate(
-    wanted: DataFrame, files: DataFrame, per_episode: int, opened: Callable[[list[str]], DataFrame] | None = None
-) -> DataFrame:
-    """Wanted (split, episode, camera) rows with the content of their file; raises if a file is missing or not the only one.
+def positioned(steps: DataFrame, table: DataFrame, n_episodes: int, in_place: bool) -> DataFrame:
+    """The steps of the episodes of ``table`` with their row in the store: by one join, or by a scan if they aren't in place."""
+    key = ["split", "episode_index"]
+    offsets = table.select(*key, "ep_offset")
+    offsets = F.broadcast(offsets) if n_episodes <= LISTED_EPISODES else offsets
+    if in_place:
+        return steps.join(offsets, key).withColumn("row", F.col("ep_offset") + F.col("frame_index")).drop("ep_offset")
+    return row_position(steps.join(offsets, key, "left_semi"), group=["split"])
+
+
+def locate(wanted: DataFrame, files: DataFrame, files_a_task: int = FILES_A_TASK) -> DataFrame:
+    """Wanted (split, episode, camera) rows with their file; raises if a file is missing or not the only one.
 
-    Both are found on names alone. The wanted rows go to the readers, so that video bytes stay where
-    they are read, in ranges of episode ids: an id has at most ``per_episode`` wanted rows, so the length of
-    each list is bounded however many there are. ``opened`` reads the files at given paths; of several
-    ranges, each opens its own files only.
+    Both are matched on names in Spark. Files known by their path are only named here: the rows are dealt to tasks of
+    about ``files_a_task`` files, which open them. Files that come with their content are joined to it.
     """
     key = ["episode_index", "camera"]
-    absent = wanted.join(files.select(*key), key, "left_anti").select(*key).limit(3).collect()
-    if absent:
-        raise FileNotFoundError(f"Episodes without a video, such as {[tuple(r) for r in absent]}.")
-    counted = files.select(*key).join(wanted.select(*key), key, "left_semi").groupBy(*key).count()
-    double = counted.where("count > 1").select(*key).limit(3).collect()
-    if double:
-        raise ValueError(f"Episodes with several videos of one camera, such as {[tuple(r) for r in double]}.")
-    skipped = F.coalesce("frame_offset", F.lit(0)) if "frame_offset" in files.columns else F.lit(0)
-    span = max(1, LISTED_VIDEOS // per_episode)
-    low, high = wanted.agg(F.min("episode_index"), F.max("episode_index")).first()
-    starts = [0] if low is None else range(low, high + 1, span)
-    if opened is not None and len(starts) > 1:
-        named, _ = materialised(files.select(*key, "path").join(wanted.select(*key), key, "left_semi"))
-    parts = []
-    for start in starts:
-        here = F.col("episode_index").between(start, start + span - 1)
-        of_range = files.where(here) if len(starts) > 1 else files
-        if opened is not None and len(starts) > 1:
-            paths = [r.path for r in named.where(here).select("path").distinct().collect()]
-            if not paths:
-                continue
-            of_range = opened(paths)
-        parts.append(of_range.join(F.broadcast(wanted.where(here)), key))
-    return reduce(DataFrame.unionByName, parts).withColumn("expected", F.col("ep_len") + skipped)
+    also = [c for c in ("path", "frame_offset") if c in files.columns]
+    per = files.select(*key, *also).groupBy(*key).agg(F.count(F.lit(1)).alias("n_files"), *[F.first(c).alias(c) for c in also])
+    found, n = materialised(wanted.join(per, key, "left"))
+    for wrong, error, text in (
+        ("n_files is null", FileNotFoundError, "Episodes without a video"),
+        ("n_files > 1", ValueError, "Episodes with several videos of one camera"),
+    ):
+        some = found.where(wrong).select(*key).limit(3).collect()
+        if some:
+            raise error(f"{text}, such as {[tuple(r) for r in some]}.")
+    skipped = F.coalesce("frame_offset", F.lit(0)) if "frame_offset" in also else F.lit(0)
+    found = found.drop("n_files").withColumn("expected", F.col("ep_len") + skipped)
+    if "content" in files.columns:
+        return found.join(files.select(*key, "content"), key)
+    return found.repartition(min(MOST_TASKS, max(1, -(-n // files_a_task))), *key)
 
 
 def frame_size(shapes: Mapping[str, tuple[int, ...]], cameras: Sequence[str], image_size: int | None) -> int:
@@ -169,30 +204,24 @@ def frame_size(shapes: Mapping[str, tuple[int, ...]], cameras: Sequence[str], im
     return max(h * w * c for h, w, c in sizes)
 
 
-@contextmanager
-def laid_out_joins(spark: SparkSession) -> Iterator[None]:
-    """Let a join use sides that are spread by some of its keys; the setting is put back after."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def store_tasks(n_rows: int, frame_bytes: int, parallelism: int) -> int:
+    """Tasks that write a store: about one block of pixels each, and no fewer than the cluster runs at once."""
+    return min(MOST_TASKS, max(parallelism, -(-n_rows * frame_bytes // BLOCK_BYTES)))
 
 
-def attach_by_block(rows: DataFrame, frames: DataFrame, bits: int) -> DataFrame:
+def attach_by_block(rows: DataFrame, frames: DataFrame, bits: int, n_tasks: int, decoders: Sequence[str]) -> DataFrame:
     """Join rows and frames in the layout of the store, so that pixels are shuffled once.
 
     Both sides are spread by (split, camera, block of rows), which is also how the writer lays
     out its files; a block has a fixed number of rows, so no episode or store is a hot spot.
-    Run it inside ``laid_out_joins``.
+    It needs the session of ``own_session``. Decoder and first frame of a video go along for the writer to count.
     """
     keys = ["split", "camera"]
     block = F.shiftright("row", bits).alias("block")
-    left = rows.select("*", block).repartition(*keys, "block")
-    right = frames.select(*keys, "row", "pixels", block).repartition(*keys, "block")
-    return attach_frames(left, right, [*keys, "block"])
+    left = rows.select("*", block).repartition(n_tasks, *keys, "block")
+    shown = frames.select(*keys, "row", "pixels", DECODER, (F.col("row") == F.col("ep_offset")).alias(OPENS), block)
+    joined = attach_frames(left, shown.repartition(n_tasks, *keys, "block"), [*keys, "block"], ["pixels", DECODER, OPENS])
+    return joined.withMetadata(DECODER, {"names": list(dict.fromkeys(decoders))})
 
 
 def attributes(spark: SparkSession, repo_id: str, fps: int, splits: Sequence[str], cameras: Sequence[str]) -> DataFrame:

@@ -42,7 +42,8 @@ def replay(
     if ep_pos < 0:
         raise ValueError(f"Episode position must not be negative, got {ep_pos}.")
     of_split, of_camera = store.select_store(store.list_stores(spark, root), split, camera)
-    rows, table = store.read_store(spark, root), store.read_episode_table(spark, root)
+    chosen = [(of_split, of_camera)]
+    rows, table = store.read_store(spark, root, chosen), store.read_episode_table(spark, root, chosen)
     check_replay_columns(rows, table)
     offset, length = store.episode_bounds(table, of_split, of_camera, ep_pos)
     first, last, step = S.resolve_window(length, start, end, stride)

@@ -1,19 +1,26 @@
 """The training store: Parquet steps by split and camera, an episode table and attributes.
 
-Layout of a root: steps, episodes and attributes, each by split=/camera=. The attributes say whether
-a store is complete: they deny it before anything else changes and confirm it last, so a listed store
-is complete.
+Layout of a root: steps and episodes, each by version=/split=/camera=, and commits (see ``versions``), which say for every
+store which version is its current one, its attributes, its columns and what its write observed. So a store is
+read without opening the files of another, and a failed or empty overwrite leaves neither a mix nor stale rows.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from episodica.functions import fixed as K
 from episodica.functions.names import camera_slug, match_camera
+from episodica.sources.reports import PRODUCED
+from episodica.sources.versions import Record, files_per_store, last_commit, publish, published
 
 # Parquet codec per option; lz4_raw stands for the fast codec, which Parquet does not have.
 CODECS = {"none": "none", "lzf": "lz4_raw", "gzip": "gzip"}
@@ -21,6 +28,12 @@ STORE_KEYS = ["split", "camera"]
 # Pixels per block of consecutive rows. Files hold whole blocks, so a slice touches few files,
 # and a block fits one task whatever the size of a frame.
 BLOCK_BYTES = 1 << 28
+# Figures that one node of the plan observes; more stores take more nodes of the same pass.
+OBSERVED = 64
+# Columns that rows may bring for the write and that are not stored.
+DECODER, OPENS = "decoder", "opens_video"
+
+Stores = Sequence[tuple[str, str]]
 
 
 def block_bits(frame_bytes: int) -> int:
@@ -34,50 +47,118 @@ def check_compression(compression: str) -> str:
     return CODECS[compression]
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, absent: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], absent)
-        raise
+# --- read ----------------------------------------------------------------------------------
 
 
-def _read_real(spark: SparkSession, path: str, usual: T.StructType, absent: T.StructType) -> DataFrame:
-    """The columns that the files below a path really have; those of ``usual`` come first, in its order.
+def records(spark: SparkSession, root: str, stores: Stores | None = None) -> list[Record]:
+    """Every store below a root (of ``stores``, if given), sorted; one written without commits takes one footer."""
+    found = published(spark, root)
+    found += _without_commits(spark, root, {r.store for r in found})
+    wanted = None if stores is None else set(map(tuple, stores))
+    return sorted((r for r in found if wanted is None or r.store in wanted), key=lambda r: r.store)
 
-    Stores may differ, so the footers of all files are merged; a column that a store lacks is null in it.
-    """
+
+def _without_commits(spark: SparkSession, root: str, known: set[tuple[str, str]]) -> list[Record]:
+    """Records of complete stores of the older layout, steps/split=/camera= with an attribute table."""
     try:
-        found = spark.read.option("mergeSchema", "true").parquet(path).schema
+        rows = spark.read.schema(K.ATTRIBUTES_SCHEMA).parquet(f"{root}/attributes").where("complete").drop("complete").collect()
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return spark.createDataFrame([], absent)
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
         raise
-    names = [n for n in usual.names if n in found.names] + [n for n in found.names if n not in usual.names]
-    # Values of the partitions are text, also where they look like numbers.
-    fields = [T.StructField(n, T.StringType()) if n in STORE_KEYS else found[n] for n in names]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
-
 
-def read_store(spark: SparkSession, root: str) -> DataFrame:
-    return _read_real(spark, f"{root}/steps", K.STORE_SCHEMA, K.STORE_SCHEMA)
-
-
-def read_episode_table(spark: SparkSession, root: str) -> DataFrame:
-    """Episodes of every store; without any such file it has no columns but split and camera."""
-    keys = T.StructType([T.StructField(k, T.StringType()) for k in STORE_KEYS])
-    return _read_real(spark, f"{root}/episodes", K.EPISODE_TABLE_SCHEMA, keys)
+    def footer(kind: str, split: str, camera: str) -> T.StructType | None:
+        keys = T.StructType([T.StructField(k, T.StringType()) for k in STORE_KEYS])
+        try:
+            files = _older_files(spark, root, kind, keys).where((F.col("split") == split) & (F.col("camera") == camera)).inputFiles()
+        except AnalysisException:
+            return None
+        return spark.read.parquet(files[0]).schema if files else None
+
+    out = []
+    for r in rows:
+        if (r.split, r.camera) not in known:
+            columns, index = (footer(kind, r.split, r.camera) for kind in ("steps", "episodes"))
+            numbers = {"n_rows": None, "n_files": None, "n_torn": None, "decoders": {}}
+            out.append(Record(**r.asDict(), version=None, commit=-1, columns=columns, index_columns=index, **numbers))
+    return out
+
+
+def merged_columns(schemas: Iterable[T.StructType | None], usual: T.StructType) -> list[T.StructField]:
+    """Every column of any of the schemas, those of ``usual`` first; a column must have one type."""
+    fields: dict[str, T.StructField] = {}
+    for schema in schemas:
+        for field in schema or ():
+            other = fields.setdefault(field.name, field)
+            if other.dataType != field.dataType:
+                raise TypeError(f"Column {field.name!r} is {other.dataType.simpleString()} in one store and {field.dataType.simpleString()} in another; read them apart.")
+    order = [n for n in usual.names if n in fields] + [n for n in fields if n not in usual.names]
+    return [T.StructField(n, fields[n].dataType) for n in order if n not in STORE_KEYS]
+
+
+def _read(spark: SparkSession, root: str, kind: str, found: Sequence[Record], fields: list[T.StructField]) -> DataFrame:
+    keys = [T.StructField(k, T.StringType()) for k in STORE_KEYS]
+    parts = []
+    versioned = [r for r in found if r.version is not None]
+    if versioned:
+        # Values of the partitions are text, also where they look like numbers.
+        schema = T.StructType([*fields, T.StructField("version", T.StringType()), *keys])
+        folders = [f"{root}/{kind}/version={v}" for v in sorted({r.version for r in versioned})]
+        files = spark.read.schema(schema).option("basePath", f"{root}/{kind}").parquet(*folders)
+        parts.append(files.where(_is_one_of(versioned, [*STORE_KEYS, "version"])).drop("version"))
+    older = [r for r in found if r.version is None]
+    if older:
+        files = _older_files(spark, root, kind, T.StructType([*fields, *keys]))
+        parts.append(files.where(_is_one_of(older, STORE_KEYS)))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*fields, *keys]))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _older_files(spark: SparkSession, root: str, kind: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).option("basePath", f"{root}/{kind}").parquet(f"{root}/{kind}/split=*")
+
+
+def _is_one_of(found: Sequence[Record], keys: list[str]):
+    """A condition on partition columns only, so that the scan lists no other store."""
+    if len(found) == 1:
+        return reduce(and_, [F.col(k) == getattr(found[0], k) for k in keys])
+    named = F.concat_ws("\x00", *keys)
+    return named.isin(["\x00".join(getattr(r, k) for k in keys) for r in found])
+
+
+def read_store(spark: SparkSession, root: str, stores: Stores | None = None) -> DataFrame:
+    """Steps of all stores (of ``stores``, if given) with the columns that these have; one that a store lacks is null in it."""
+    found = records(spark, root, stores)
+    fields = merged_columns([r.columns for r in found], K.STORE_SCHEMA) if found else [f for f in K.STORE_SCHEMA if f.name not in STORE_KEYS]
+    return _read(spark, root, "steps", found, fields)
+
+
+def read_episode_table(spark: SparkSession, root: str, stores: Stores | None = None) -> DataFrame:
+    """Episodes of every store; if no store has any, there are no columns but split and camera."""
+    found = [r for r in records(spark, root, stores) if r.index_columns is not None]
+    return _read(spark, root, "episodes", found, merged_columns([r.index_columns for r in found], K.EPISODE_TABLE_SCHEMA))
 
 
 def read_attributes(spark: SparkSession, root: str) -> DataFrame:
-    """Attributes of the complete stores."""
-    return _read(spark, f"{root}/attributes", K.ATTRIBUTES_SCHEMA, K.ATTRIBUTES_SCHEMA).where("complete").drop("complete")
+    """Attributes of every store."""
+    names = [n for n in K.ATTRIBUTES_SCHEMA.names if n != "complete"]
+    schema = T.StructType([K.ATTRIBUTES_SCHEMA[n] for n in names])
+    return spark.createDataFrame([tuple(getattr(r, n) for n in names) for r in records(spark, root)], schema)
 
 
 def list_stores(spark: SparkSession, root: str) -> DataFrame:
-    """split, camera of the complete stores below a root, sorted; empty if there is nothing."""
-    return read_attributes(spark, root).select("split", "camera").distinct().orderBy("split", "camera")
+    """split, camera of the stores below a root, sorted; empty if there is nothing."""
+    return spark.createDataFrame([r.store for r in records(spark, root)], "split string, camera string")
+
+
+def produced(spark: SparkSession, root: str, found: Sequence[Record] | None = None) -> DataFrame:
+    """split, camera, path, n_rows, n_files, decoders (name, n_videos) of every store, as its write observed them."""
+    rows = [
+        (r.split, r.camera, f"{root.rstrip('/')}/steps/version={r.version}/split={r.split}/camera={r.camera}", r.n_rows, r.n_files, sorted(r.decoders.items()))
+        for r in (records(spark, root) if found is None else found)
+    ]
+    return spark.createDataFrame(rows, f"split string, {PRODUCED}")
 
 
 def select_store(stores: DataFrame, split: str | None = None, camera: str | None = None) -> tuple[str, str]:
@@ -127,16 +208,6 @@ def store_rows(steps: DataFrame) -> DataFrame:
     return steps.withColumnsRenamed({"episode_index": "episode_idx", "frame_index": "step_idx"})
 
 
-def check_written(spark: SparkSession, root: str, stores: DataFrame) -> None:
-    """Every one of ``stores`` holds as many rows as its episode table says."""
-    rows = read_store(spark, root).groupBy(*STORE_KEYS).agg(F.count(F.lit(1)).alias("written"))
-    declared = read_episode_table(spark, root).groupBy(*STORE_KEYS).agg(F.sum("ep_len").alias("declared"))
-    both = stores.select(*STORE_KEYS).distinct().join(rows, STORE_KEYS, "left").join(declared, STORE_KEYS, "left").na.fill(0, ["written", "declared"])
-    wrong = [tuple(r) for r in both.where("written <> declared").select(*STORE_KEYS, "written", "declared").collect()]
-    if wrong:
-        raise RuntimeError(f"Stores whose written rows differ from sum(ep_len): {wrong}.")
-
-
 def write_store(
     rows: DataFrame,
     episode_table: DataFrame,
@@ -146,21 +217,24 @@ def write_store(
     compression: str = "lzf",
     frame_bytes: int = 0,
     verify: bool = True,
-) -> None:
-    """Write the stores named in ``attributes``; other stores below the root stay as they are.
-
-    mode ``error`` raises if one of them exists; ``overwrite`` replaces exactly these. An
-    episode table without a camera holds for every camera of its split. Rows that have a ``block``
-    column are taken as spread by it already, as after ``attach_by_block``. ``verify`` compares the
-    written rows with the episode table before a store is listed.
+) -> list[Record]:
+    """Write the stores named in ``attributes`` and publish them together; other stores stay as they are.
+
+    mode ``error`` raises if one of them exists; ``overwrite`` replaces exactly these, with nothing if there are
+    no rows. An episode table without a camera holds for every camera of its split. Rows that have a ``block``
+    column are taken as spread by it already, as after ``attach_by_block``; ``decoder`` and ``opens_video`` are counted
+    and not stored. Rows, files, decoders and frames of a wrong size are observed by the one write;
+    ``verify`` compares the rows with the episode table, and nothing is published if they differ.
     """
     codec = check_compression(compression)
     if mode not in ("error", "overwrite"):
         raise ValueError(f"Unknown mode {mode!r}; use 'error' or 'overwrite'.")
     spark = rows.sparkSession
-    stores = attributes.select(*STORE_KEYS).distinct()
+    base = last_commit(spark, root)
+    named = {(r.split, r.camera): r for r in attributes.collect()}
+    stores = sorted(named)
     if mode == "error":
-        clash = [tuple(r) for r in list_stores(spark, root).join(stores, STORE_KEYS).limit(3).collect()]
+        clash = [r.store for r in records(spark, root, stores)][:3]
         if clash:
             raise FileExistsError(f"Stores exist below {root}, such as {clash}; use mode='overwrite'.")
 
@@ -168,24 +242,91 @@ def write_store(
         rows = rows.withColumn("block", F.shiftright("row", block_bits(frame_bytes)))
         rows = rows.repartition("split", "camera", "block")
     laid_out = rows.sortWithinPartitions("split", "camera", "block", "row").drop("block")
-    index = episode_table.join(stores, [k for k in STORE_KEYS if k in episode_table.columns])
-
-    def put(df: DataFrame, name: str) -> None:
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", codec)
-            .partitionBy(*STORE_KEYS)
-            .parquet(f"{root}/{name}")
-        )
-
-    def listed(complete: bool) -> None:
-        marked = attributes.withColumn("complete", F.lit(complete))
-        put(marked.select(*K.ATTRIBUTES_SCHEMA.names).coalesce(1), "attributes")
-
-    listed(False)
-    put(laid_out, "steps")
-    put(index, "episodes")
-    if verify:
-        check_written(spark, root, stores)
-    listed(True)
+    of_stores = spark.createDataFrame(stores, "split string, camera string")
+    index = episode_table.join(F.broadcast(of_stores), [k for k in STORE_KEYS if k in episode_table.columns])
+    version = uuid.uuid4().hex
+
+    written = _Observed(laid_out, stores)
+    written.add("n_rows", F.lit(True))
+    if "pixels" in rows.columns and {*K.PIXELS.names} <= {*getattr(rows.schema["pixels"].dataType, "names", ())}:
+        size = F.col("pixels.height").cast("long") * F.col("pixels.width") * F.col("pixels.channels")
+        written.add("n_torn", F.col("pixels").isNotNull() & (F.coalesce(F.octet_length("pixels.data"), F.lit(-1)) != size))
+    else:
+        written.add("n_torn", F.lit(False))
+    if DECODER in rows.columns:
+        written.count_values("decoders", F.when(F.col(OPENS), F.col(DECODER)))
+    listed = _Observed(index, stores)
+    listed.add("n_index", F.lit(True))
+    countable = "ep_len" in index.columns and isinstance(index.schema["ep_len"].dataType, T.IntegralType)
+    if countable:
+        listed.total("declared", F.col("ep_len"))
+
+    def put(df: DataFrame, kind: str) -> None:
+        df.write.option("compression", codec).partitionBy(*STORE_KEYS).parquet(f"{root}/{kind}/version={version}")
+
+    put(written.rows().drop(DECODER, OPENS), "steps")
+    put(listed.rows(), "episodes")
+    figures = {s: written.get(s) | listed.get(s) for s in stores}
+    wrong = [(*s, f["n_rows"], f["declared"]) for s, f in figures.items() if countable and f["n_rows"] != f["declared"]]
+    if verify and wrong:
+        raise RuntimeError(f"Stores whose written rows differ from sum(ep_len): {wrong}.")
+
+    n_files = files_per_store(spark, f"{root}/steps/version={version}")
+    columns = T.StructType([f for f in laid_out.drop(DECODER, OPENS).schema if f.name not in STORE_KEYS]).json()
+    index_columns = T.StructType([f for f in index.schema if f.name not in STORE_KEYS]).json()
+    lines = []
+    for s in stores:
+        attribute = {n: getattr(named[s], n) for n in K.ATTRIBUTES_SCHEMA.names if n != "complete"}
+        observed = {n: figures[s][n] for n in ("n_rows", "n_torn")} | {"decoders": figures[s].get("decoders", {})}
+        # A store with rows and no episodes has no episode table.
+        known = index_columns if figures[s]["n_index"] or not figures[s]["n_rows"] else None
+        lines.append({**attribute, "version": version, **observed, "n_files": n_files.get(s, 0), "columns": columns, "index_columns": known})
+    number = publish(spark, root, lines, base, exclusive=mode == "error")
+    return [Record.of(line | {"commit": number}) for line in lines]
+
+
+class _Observed:
+    """Figures of every store, taken while the rows of a DataFrame pass by on their way into files."""
+
+    def __init__(self, df: DataFrame, stores: Stores):
+        self.df, self.stores, self.cells, self.values, self.seen = df, stores, {}, {}, []
+
+    def _of(self, k: int):
+        split, camera = self.stores[k]
+        return (F.col("split") == split) & (F.col("camera") == camera)
+
+    def add(self, name: str, condition) -> None:
+        """How many rows of a store fulfil a condition."""
+        for k in range(len(self.stores)):
+            self.cells[f"{name}_{k}"] = F.count_if(self._of(k) & condition)
+
+    def total(self, name: str, value) -> None:
+        for k in range(len(self.stores)):
+            self.cells[f"{name}_{k}"] = F.coalesce(F.sum(F.when(self._of(k), value)), F.lit(0))
+
+    def count_values(self, name: str, value) -> None:
+        """How often each value of a small set occurs in a store; the set is that of ``DECODER`` names given by its metadata."""
+        self.values[name] = self.df.schema[DECODER].metadata["names"]
+        for at, one in enumerate(self.values[name]):
+            for k in range(len(self.stores)):
+                self.cells[f"{name}_{at}_{k}"] = F.count_if(self._of(k) & (value == one))
+
+    def rows(self) -> DataFrame:
+        out, cells = self.df, list(self.cells.items())
+        for at in range(0, len(cells), OBSERVED):
+            self.seen.append(Observation())
+            out = out.observe(self.seen[-1], *[c.alias(n) for n, c in cells[at : at + OBSERVED]])
+        return out
+
+    def get(self, store: tuple[str, str]) -> dict:
+        found = {n: v for o in self.seen for n, v in o.get.items()}
+        k = list(self.stores).index(store)
+        out = {}
+        for name in self.cells:
+            stem, _, number = name.rpartition("_")
+            if int(number) == k:
+                out[stem] = int(found.get(name) or 0)
+        for name, values in self.values.items():
+            counts = {one: out.pop(f"{name}_{at}") for at, one in enumerate(values)}
+            out[name] = {one: n for one, n in counts.items() if n}
+        return out

@@ -5,13 +5,18 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import importlib
+
 from episodica import check_stores, convert, replay
 from episodica.operators.quality import DirtyEpisodes
 from episodica.plans.check import InvalidStore
+from episodica.operators.frames import decode
+from episodica.operators.quality import runs
 from episodica.plans.convert import locate
 from episodica.sources import steps as source
 from episodica.sources import store
 
+plans = importlib.import_module("episodica.plans.convert")
 CAMERAS = ["observation.images.front", "observation.images.wrist"]
 LENGTHS = [3, 4, 2, 5, 3]
 
@@ -24,13 +29,13 @@ def raw_rgb(content):
 RAW = [("raw", raw_rgb)]
 
 
-def make_raw(spark, root, dirty=(), short=(), declared=None):
+def make_raw(spark, root, dirty=(), short=(), declared=None, first=0):
     """Five episodes; ``dirty`` ones are not terminated, ``short`` ones miss a frame."""
     data, index = [], 0
     for e, n in enumerate(LENGTHS):
         for k in range(n):
             done = k == n - 1 and e not in dirty
-            data.append(([float(e), float(k)], [float(index)], e, k, done, k / 10, index, 0))
+            data.append(([float(e), float(k)], [float(index)], e, k + first, done, k / 10, index, 0))
             index += 1
     schema = (
         "action array<double>, `observation.state` array<double>, episode_index long, frame_index long,"
@@ -101,6 +106,12 @@ def test_convert_clean(spark, converted):
         assert r.proprio == r.state and list(r.action) == [r.episode_idx, r.step_idx]
     document = spark.read.json(f"{report}/summary").first()
     assert document.status == "ok" and document.repo_id == "some/robot" and len(document.splits) == 2
+    assert document.config.decoders == "raw"
+    files = {(s.split, f.camera): f for s in document.splits for f in s.produced_files}
+    assert {k: (f.n_rows, [(d.name, d.n_videos) for d in f.decoders]) for k, f in files.items()} == {
+        (s, c): (n, [("raw", videos)]) for s, n, videos in (("train", 14, 4), ("val", 3, 1)) for c in CAMERAS
+    }
+    assert all(len(list(Path(f.path).glob("*.parquet"))) == f.n_files > 0 for f in files.values())
     assert spark.read.json(f"{report}/episodes").where("kept and valid").count() == 5
 
 
@@ -163,18 +174,108 @@ def test_policies(spark, tmp_path):
     assert {r.split for r in store.list_stores(spark, str(tmp_path / "lax")).collect()} == {"train"}
 
 
-@pytest.mark.parametrize("limit", [1, 4, 1000])
-def test_video_bytes_are_never_shuffled(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr("episodica.plans.convert.LISTED_VIDEOS", limit)
+def wanted_videos(spark, but=2):
+    rows = [("train", e, c, n, 0) for e, n in enumerate(LENGTHS) for c in CAMERAS if e != but]
+    return spark.createDataFrame(rows, "split string, episode_index long, camera string, ep_len long, ep_offset long")
+
+
+@pytest.mark.parametrize("files_a_task", [1, 4, 1000])
+def test_files_are_opened_in_the_tasks(spark, tmp_path, files_a_task):
     root = make_raw(spark, str(tmp_path / "raw"))
-    wanted = spark.createDataFrame([("train", e, c, n) for e, n in enumerate(LENGTHS) for c in CAMERAS if e != 2], "split string, episode_index long, camera string, ep_len long")
-    files = source.read_videos(spark, root)
-    for opened in (None, lambda paths: source.read_videos(spark, root, paths=paths)):
-        found = locate(wanted, files, 2, opened)
-        got = {(r.episode_index, r.camera): len(r.content) for r in found.collect()}
-        assert got == {(e, c): 12 * n for e, n in enumerate(LENGTHS) for c in CAMERAS if e != 2} and found.count() == 8
-        plan = found._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    located = locate(wanted_videos(spark), source.read_videos(spark, root).drop("content"), files_a_task)
+    assert "content" not in located.columns and located.rdd.getNumPartitions() == -(-8 // files_a_task)
+    plan = located._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan and "BroadcastHashJoin" not in plan
+    frames = decode(located, RAW, expected="expected").select("episode_index", "camera", "frame_pos", "pixels.data").collect()
+    assert {(r.episode_index, r.camera, r.frame_pos): r.data[0] for r in frames} == {
+        (e, c, k): 10 * e + k + 100 * at for e, n in enumerate(LENGTHS) for at, c in enumerate(CAMERAS) for k in range(n) if e != 2
+    }
+    carried = decode(locate(wanted_videos(spark), source.read_videos(spark, root)), RAW, expected="expected")
+    assert carried.count() == len(frames)
+
+
+def test_sparse_ids_and_odd_names(spark, tmp_path):
+    folder = tmp_path / "videos" / "cam a%20b"
+    folder.mkdir(parents=True)
+    ids = [0, 7, 10**9, 10**15]
+    for e in ids:
+        folder.joinpath(f"episode_{e}.mp4").write_bytes(bytes([e % 251] * 12))
+    files = source.read_videos(spark, str(tmp_path)).drop("content")
+    wanted = spark.createDataFrame([("s", e, "cam a%20b", 1, 0) for e in ids], "split string, episode_index long, camera string, ep_len long, ep_offset long")
+    located = locate(wanted, files)
+    assert located.rdd.getNumPartitions() == 1
+    assert {r.episode_index: r.pixels.data[0] for r in decode(located, RAW, expected="expected").collect()} == {e: e % 251 for e in ids}
+    more = wanted.withColumn("episode_index", F.col("episode_index") + 1)
+    with pytest.raises(FileNotFoundError):
+        locate(more, files)
+    with pytest.raises(ValueError, match="several"):
+        locate(wanted, files.unionByName(files.limit(1)))
+
+
+def test_opener_of_the_caller(spark, tmp_path):
+    root = make_raw(spark, str(tmp_path / "raw"))
+    convert(spark, root, str(tmp_path / "out"), "r", RAW, opener=lambda path: bytes([1]) * 12 * 5)
+    assert {bytes(r.pixels.data) for r in store.read_store(spark, str(tmp_path / "out")).collect()} == {bytes([1] * 12)}
+
+
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_rows_in_place_are_found_by_one_join(spark, tmp_path, monkeypatch):
+    root = make_raw(spark, str(tmp_path / "raw"), dirty=(1,))
+    taken = []
+    real = plans.positioned
+    monkeypatch.setattr(plans, "positioned", lambda *a: taken.append((a[3], real(*a))) or taken[-1][1])
+    convert(spark, root, str(tmp_path / "a"), "r", RAW, policy="drop")
+    assert taken[0][0] and scans(taken[0][1]) == 1
+    # Frames that start at 1 are kept by the policy "warn": positions come from a scan.
+    convert(spark, make_raw(spark, str(tmp_path / "late"), first=1), str(tmp_path / "b"), "r", RAW, policy="warn")
+    assert not taken[1][0]
+    for out, n in (("a", sum(LENGTHS) - LENGTHS[1]), ("b", sum(LENGTHS))):
+        rows = store.read_store(spark, str(tmp_path / out)).where(F.col("camera") == CAMERAS[0])
+        by_split = rows.groupBy("split").agg(F.count_distinct("row").alias("n"), F.max("row").alias("top")).collect()
+        assert sum(r.n for r in by_split) == n and all(r.top == r.n - 1 for r in by_split)
+
+
+@pytest.mark.parametrize("case", ["turned", "repeated"])
+def test_order_of_episodes_against_index(spark, case):
+    """Episodes that follow the index the other way round are not in place; a common index keeps them by number."""
+    data = [(e, k, k == 2, (9 - e) * 10 + k if case == "turned" else 5) for e in range(4) for k in range(3)]
+    steps = spark.createDataFrame([("s", *r) for r in data], "split string, episode_index long, frame_index long, done boolean, index long")
+    table = spark.createDataFrame([("s", e, e, 3, 3 * e) for e in range(4)], "split string, ep_pos long, episode_index long, ep_len long, ep_offset long")
+    n, in_place = plans.check_totals(runs(steps, ["split"]), table)
+    assert n == 12 and in_place == (case == "repeated")
+    got = {(r.episode_index, r.frame_index): r.row for r in plans.positioned(steps, table, 4, in_place).collect()}
+    order = sorted(data, key=lambda r: (r[3], r[0], r[1]))
+    assert got == {(e, k): n for n, (e, k, _, _) in enumerate(order)}
+
+
+def test_source_is_read_at_most_four_times(spark, tmp_path, monkeypatch):
+    """Every row that a job reads passes a counter; the ranges, the pieces and the write read it once each."""
+    root = make_raw(spark, str(tmp_path / "raw"))
+    passed = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    real = plans.canonical_steps
+    monkeypatch.setattr(plans, "canonical_steps", lambda df: real(df).mapInArrow(counting, real(df).schema))
+    convert(spark, root, str(tmp_path / "out"), "r", RAW, policy="drop")
+    assert passed.value <= 4 * sum(LENGTHS)
+
+
+def test_session_and_tables_are_left_alone(spark, tmp_path):
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")) if spark.sparkContext.getCheckpointDir() else None
+    held = set(folder.iterdir()) if folder else set()
+    summary = convert(spark, make_raw(spark, str(tmp_path / "raw")), str(tmp_path / "out"), "r", RAW)
+    assert spark.conf.get(name) == before and summary.count() == 2
+    if folder:
+        assert set(folder.iterdir()) == held
 
 
 def test_failures(spark, tmp_path):

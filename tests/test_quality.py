@@ -1,11 +1,14 @@
 import random
 
+import numpy as np
 import pytest
 from models import issues_of
 from pyspark.sql import functions as F
 
+from episodica.operators import nearest, ordering
 from episodica.operators import quality as Q
-from episodica.operators.ordering import row_position, scan
+from episodica.operators.ordering import materialised, row_position, scan
+from episodica.operators.transitions import transitions
 
 SCHEMA = "episode_index long, frame_index long, done boolean, index long"
 
@@ -127,3 +130,93 @@ def test_scan_matches_a_plain_window(spark, bits, one_window):
             seen.append(v)
     cols = ["g", "k", "v", "total", "pos", "last", "top"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(want)
+
+
+def issues_in_order(rows):
+    """rows: (index, episode, step, done) in any order."""
+    return issues_of([(e, s, d) for _, e, s, d in sorted(rows)])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeated_index(spark, seed):
+    """One total order by (index, episode, frame), whatever the partitioning and however often a value repeats."""
+    rng = random.Random(40 + seed)
+    rows = {(rng.choice([5, 5, 5, rng.randint(0, 200)]), rng.randint(0, 3), rng.randint(0, 60)) for _ in range(300)}
+    rows = [(i, e, s, rng.random() < 0.2) for i, e, s in rows]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(e, s, d, i) for i, e, s, d in rows], SCHEMA).repartition(rng.randint(1, 5))
+    for bits, crowd in (((2, 3, 20), 1), ((16, 20, 20), 20), ((4, 20, 20), 100)):
+        got = {(r["index"], r.episode_index, r.frame_index): r.row for r in row_position(df, bits=bits, crowd=crowd).collect()}
+        assert got == {k[:3]: n for n, k in enumerate(sorted(rows))}
+        issues = Q.source_issues(df, bits=bits, one_window=5, crowd=crowd)
+        assert as_map(Q.issue_lists(issues, part_size=4, bits=bits, crowd=crowd)) == issues_in_order(rows)
+
+
+def test_crowded_ranges_are_cut(spark):
+    """Rows that all share one value are many ranges, also when the list of crowded ranges is not sent along."""
+    data = [(e, s, False, 7) for e in range(40) for s in range(25)] + [(50, s, False, 7) for s in range(1000)]
+    df = spark.createDataFrame(data, SCHEMA)
+    for listed in (100_000, 0):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(ordering, "LISTED_RANGES", listed)
+            rows, _, _ = ordering.ranges_of(df, ordering.STEP_ORDER, [], [], "rng", 4, crowd=64)
+            sizes = rows.groupBy("rng").count()
+            assert sizes.agg(F.max("count")).first()[0] <= 16 * 25 and sizes.where("rng.cut_4 > 0").count() >= 1000 // 16 - 1
+            assert row_position(df, bits=(4, 20, 20), crowd=64).where("row = 40 * 25 + frame_index and episode_index = 50").count() == 1000
+
+
+def test_a_tie_raises(spark):
+    df = spark.createDataFrame([(0, 0, False, 3), (0, 1, True, 3), (0, 1, False, 3)], SCHEMA)
+    for job in (row_position(df), row_position(df.where("frame_index = 1"), "index")):
+        with pytest.raises(Exception, match="their order is not defined"):
+            job.collect()
+    with pytest.raises(Exception, match="their order is not defined"):
+        Q.runs(df).collect()
+
+
+def test_messages_of_a_hot_episode(spark):
+    """One episode holds nine tenths of all runs: its messages are ranges, and its ranges are ranges again."""
+    rows = [r for k in range(300) for r in ((0, 5, False), (1 + k % 7, 0, True))] + [(9, 0, True)] * 30
+    df = table(spark, *zip(*rows))
+    issues, _ = materialised(Q.source_issues(df, bits=(3, 20, 20)))
+    hot = issues.where("episode_index = 0")
+    assert hot.count() > 0.5 * issues.count()
+    spans = ordering.ranged(hot, ["run_start"], [], "rng", 3).groupBy("rng").count()
+    assert spans.agg(F.max("count")).first()[0] <= 8 * 4 and spans.count() > 50
+    lists = Q.issue_lists(issues, part_size=6, bits=(3, 2, 20), one_window=4)
+    assert as_map(lists) == issues_of(rows)
+
+
+def test_transitions(spark):
+    rng = random.Random(3)
+    data = []
+    for e, n in ((0, 1), (1, 700), (2, 40), (3, 2)):
+        frames = sorted(rng.sample(range(2 * n), n))
+        data += [(e, f, [float(f)] * 2 if f % 5 else None, [float(k)], k) for k, f in enumerate(frames)]
+    df = spark.createDataFrame(rng.sample(data, len(data)), "episode_index long, frame_index long, state array<double>, action array<double>, k long")
+    want = [(*a[:2], a[2], a[3], b[1], b[2]) for a, b in zip(data, data[1:]) if a[0] == b[0]]
+    for bits, one_window in (((1, 2, 20), 3), ((16, 20, 20), 10**6)):
+        got = transitions(df, bits=bits, one_window=one_window).collect()
+        assert sorted(map(tuple, got), key=lambda r: r[:2]) == want
+    again = df.union(df.where("episode_index = 3"))
+    with pytest.raises(Exception, match="their order is not defined"):
+        transitions(again).collect()
+
+
+def test_goal_topk(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    vectors = rng.integers(-3, 4, (400, 5)).astype(float)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(500, None), (501, [0.0]), (502, [0.0, None, 0.0, 0.0, 0.0]), (None, [0.0] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7)
+    goals = spark.createDataFrame([(g, vectors[g].tolist()) for g in range(0, 60, 3)] + [(900, [0.0, 1.0]), (901, None)], "goal_id long, goal array<double>")
+    for block, k in ((1024, 7), (4, 1), (1024, 1000)):
+        monkeypatch.setattr(nearest, "GOALS", block)
+        got = [tuple(r) for r in nearest.goal_topk(df, goals, k).orderBy("goal_id", "rank").collect()]
+        want = []
+        for g in range(0, 60, 3):
+            order = sorted((((v - vectors[g]) ** 2).sum(), i) for i, v in enumerate(vectors))[:k]
+            want += [(g, n + 1, i, d) for n, (d, i) in enumerate(order)]
+        assert got == want
+    assert nearest.goal_topk(df.limit(0), goals, 3).isEmpty() and nearest.goal_topk(df, goals.limit(0), 3).isEmpty()
+    with pytest.raises(ValueError):
+        nearest.goal_topk(df, goals, 0)
