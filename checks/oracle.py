@@ -451,6 +451,78 @@ select vec_id, copy, cast(13 as bigint) as height, string_agg(lpad(hex(
 from cells group by 1, 2""",
     "u4_decode_texts": f"with {TEXT_FRAMES} select episode_index, frame_pos, decoder, bytes from frames",
     "a7_decoder_counts": f"with {TEXT_FRAMES} select decoder, count(*) as n_files from files where n > 0 group by 1",
+    "s4_u4_decode_from_files": f"with {TEXT_FRAMES} select episode_index, frame_pos, decoder, bytes from frames",
+    "s8_overwritten_stores": f"""with {LINE_STORE}, {LINE_INDEX}, limits as (
+  select max(ep_offset + ep_len) as few from line_index where split = 'val' and ep_pos < 20),
+now as (select split, camera, "row" from line_store, limits
+  where camera <> {q(CAMERAS[0])} or split = 'train' or (split = 'val' and "row" < few)),
+named as (select distinct split, camera from line_store)
+select n.split, n.camera, case when n.camera = {q(CAMERAS[0])} and n.split <> 'train' then 'again' else 'tables/lineitem' end as source_repo_id,
+  count("row") as n_rows, max("row") as last, true as refused
+from named n left join now on now.split = n.split and now.camera = n.camera group by 1, 2, 3""",
+    "s9_compressions": f"""with {LINE_STORE} select split, compression, count(*) as n_rows, cast(sum("index") as bigint) as total,
+  count(*) * 3 as bytes from line_store, (values ('none'), ('lzf'), ('gzip')) c(compression)
+where camera = {q(CAMERAS[0])} group by 1, 2""",
+    "v3_v5_v6_faulty_stores": f"""with {ORDER_SPLITS}, {LINE_INDEX}, n as (select split, count(*) as n, max(ep_pos) >= 5 as has from line_index group by 1)
+select split, 'mixed' as camera, -1 as ep_pos, 3 as "check", {fmt(K.PIXELS_RANK, "1")} as message from n
+union all select split, 'text', -1, 3, {fmt(K.PIXELS_RANK, "1")} from n
+union all select split, 'torn', -1, 3, {fmt(K.PIXELS_RANK, "1")} from n
+union all select split, 'nested', -1, 5, {q(K.INDEX_RANK)} from n
+union all select split, 'fewer', -1, 6, {fmt(K.INDEX_LENGTHS, "n", "(n - 1)")} from n where has""",
+    "a3_inspected_faulty_stores": f"""with {LINE_STORE}, {LINE_INDEX}, n as (select split, count(*) as n from step_rows group by 1),
+e as (select split, count(*) as eps, count(*) filter (where ep_pos <> 5) as fewer from line_index group by 1),
+f as (select unnest(['fewer', 'mixed', 'nested', 'text', 'torn', 'whole']) as camera),
+c as (select * from (values ('action', 'float32', ', 2'), ('done', 'bool', ''), ('episode_idx', 'int64', ''), ('index', 'int64', ''),
+  ('proprio', 'float32', ', 4'), ('state', 'float32', ', 4'), ('step_idx', 'int64', ''), ('task_index', 'int64', ''),
+  ('timestamp', 'float32', '')) t("column", dtype, width))
+select split, camera, "column", dtype, n as n_values, '[' || n || width || ']' as shape from n, f, c
+union all select split, camera, 'pixels', case camera when 'text' then 'object' else 'uint8' end, n,
+  '[' || n || case camera when 'text' then ']' when 'mixed' then ', 1..2, 1, 3]' else ', 1, 1, 3]' end from n, f
+union all select split, camera, 'ep_len', 'int64', eps, '[' || eps || ']' from e, f
+union all select split, camera, 'ep_offset', case camera when 'nested' then 'object' else 'int64' end,
+  case camera when 'fewer' then fewer else eps end, '[' || case camera when 'fewer' then fewer else eps end || ']' from e, f""",
+    "v17_replay_checks": f"""with {ORDER_SPLITS} select split, camera,
+  case when camera in ('text', 'nested') then 'ValueError' else 'ok' end as outcome
+from splits, (select unnest(['fewer', 'mixed', 'nested', 'text', 'torn', 'whole']) as camera)""",
+    "v18_requested_positions": f"""with {BAD_STORE}, asked as (
+  select o_orderkey, case when o_orderkey % 3 = 0 then 'train' else 'val' end as split, {q(CAMERAS[0])} as camera,
+    o_orderkey % 1500 - 4 as ep_pos from orders)
+select a.*, ep_offset, ep_len, case when ep_len is null then 'outside' when ep_len <= 0 then 'empty' else 'ok' end as status
+from asked a left join bad_index b on b.split = a.split and b.ep_pos = a.ep_pos""",
+    "u2_image_rank": f"""with {LINE_STORE} select split, camera, "row", case when "row" % 2 = 0 then 2 else 3 end as rank,
+  "row" % 5 + 2 as height, 1 as width, case when "row" % 2 = 0 then 1 else 3 end as channels from line_store""",
+    "u3_f10_session_documents": f"""with {ORDER_SPLITS}, {LINE_INDEX}
+select 'metadata/session' as entity_path, '{{' || chr(10) || '  "episode_index" : ' || ep_pos || ',' || chr(10) || '  "start_step" : 0,' || chr(10)
+  || '  "end_step" : ' || (ep_len - 1) || ',' || chr(10) || '  "split" : "' || split || '"' || chr(10) || '}}' as "text",
+  cast(null as double) as "value" from line_index
+union all select 'metadata/episode_index', null, cast(ep_pos as double) from line_index
+union all select 'metadata/start_step', null, cast(0 as double) from line_index
+union all select 'metadata/end_step', null, cast(ep_len - 1 as double) from line_index""",
+    "f12_report_time": "select n_nationkey, true as of_form, true as near from nation",
+    "p6_p7_name_status": f"""select c_custkey,
+  case when c_mktsegment in ('BUILDING', 'MACHINERY') then 'ok'
+    else 'Unknown split ' || chr(39) || c_mktsegment || chr(39) || {q(". Available: ['BUILDING', 'MACHINERY'].")} end as split,
+  case when n_name in ('FRANCE', 'PERU', 'CHINA') then 'ok'
+    else 'Unknown camera ' || chr(39) || n_name || chr(39) || {q(". Available: ['FRANCE', 'PERU', 'CHINA'].")} end as camera
+from customer join nation on c_nationkey = n_nationkey""",
+    "p12_null_keys": f"""with {EVENT_STEPS}, holes as (
+  select "index" as event_id, case when "index" % 11 <> 0 then episode_index end as episode_index,
+    case when "index" % 13 <> 1 then frame_index end as frame_index, case when "index" % 17 <> 2 then "index" end as "index"
+  from event_steps)
+select * from holes where episode_index is null or frame_index is null or "index" is null""",
+    "s10_a7_conversion_document": f"""with {CONVERTED}, {issues('conv_steps', split='split')},
+{converted("where (split, ep) not in (select (split, episode_index) from issues)")},
+kept_counts as (select split, count(*) as kept, sum(ep_len) as n_rows from lens group by 1),
+dirty as (select split, count(distinct episode_index) as n from issues group by 1),
+used as (select split, case when ep % 3 = 0 then 'any' else 'lower' end as name, count(*) as n_videos from lens group by 1, 2)
+select 'tables/conversations' as repo_id, 'ok' as status, 'lower,any' as resolved, 'drop' as dirty_episode_policy, k.split,
+  case when coalesce(d.n, 0) > 0 then 'drop_invalid' else 'kept_all' end as action_taken, kept as kept_episode_count, camera,
+  cast(n_rows as bigint) as n_rows, true as has_files, o.name, o.n_videos
+from kept_counts k join used o on o.split = k.split left join dirty d on d.split = k.split, cameras""",
+    "s11_store_document": f"""with {BAD_STORE}, {validate('bad_store', 'bad_index')}, said as ({MESSAGE_ROWS})
+select 'validate' as mode, true as of_root, s.split, s.camera, count(m.message) = 0 as valid, count(m.message) as n_errors
+from (select distinct split, camera from bad_store) s left join said m on m.split = s.split and m.camera = s.camera
+group by s.split, s.camera""",
     "u1_signals_long": f"""with {LINE_STORE}, wide as (
   select *, ep as episode_idx, step0 as step, step0 as step_idx, is_last as done from step_rows)
 select split, "row", 'signals/done' as entity_path, step, cast(cast(done as integer) as double) as value from wide

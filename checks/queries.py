@@ -14,10 +14,11 @@ from episodica.functions import names, scalars
 from episodica.operators import episodes, frames, nearest, quality, signals, slices, splits, store_checks, summary, transitions
 from episodica.operators.ordering import materialised, row_position
 from episodica.plans.check import check_stores
-from episodica.plans.convert import attributes, convert
+from episodica.plans.convert import attributes, convert, locate
 from episodica.plans.replay import replay
 from episodica.sources import steps as source
 from episodica.sources import store
+from episodica.sources.reports import read_report
 
 STORE = ["split", "camera"]
 
@@ -530,6 +531,19 @@ def decode_texts(spark, sf_dir):
     )
 
 
+def decode_from_files(spark, sf_dir):
+    """Every document as a file of its own, named by its path only and opened in the task that decodes it."""
+    root = X.written_texts(spark, sf_dir)
+    n_frames = F.ceil(F.octet_length(F.encode("text", "UTF-8")) / 64).alias("ep_len")
+    wanted = X.table(spark, sf_dir, "documents").select(
+        F.lit("all").alias("split"), F.col("doc_id").alias("episode_index"), F.lit(X.CAMERAS[0]).alias("camera"), n_frames
+    )
+    located = locate(wanted.where("ep_len > 0"), source.read_videos(spark, root).drop("content"))
+    return frames.decode(located, DECODERS, expected="expected", fail_short=True).select(
+        "episode_index", "frame_pos", "decoder", F.hex("pixels.data").alias("bytes")
+    )
+
+
 def decoder_counts(spark, sf_dir):
     return frames.decoder_counts(frames.decode(X.text_videos(spark, sf_dir), DECODERS))
 
@@ -552,12 +566,57 @@ def image_stream(spark, sf_dir):
     )
 
 
-def session_metadata(spark, sf_dir):
-    """One session per episode of the episode table: numbers of the metadata stream."""
-    sessions = X.line_index(spark, sf_dir).select(
-        F.col("ep_pos").alias("episode_index"), F.lit(0).alias("start_step"), (F.col("ep_len") - 1).alias("end_step")
+def _sessions(spark, sf_dir):
+    """One session per episode of the episode table."""
+    return X.line_index(spark, sf_dir).select(
+        F.col("ep_pos").alias("episode_index"), F.lit(0).alias("start_step"), (F.col("ep_len") - 1).alias("end_step"), "split"
+    )
+
+
+def session_documents(spark, sf_dir):
+    """The metadata streams of all sessions as they are: documents and numbers."""
+    return signals.metadata_rows(_sessions(spark, sf_dir))
+
+
+def image_rank(spark, sf_dir):
+    """Frames of one and of three channels, all of them higher than wide."""
+    pixels = F.col("pixels").withField("channels", F.when(F.col("row") % 2 == 0, 1).otherwise(3)).withField("height", (F.col("row") % 5 + 2).cast("int"))
+    shown = signals.images(X.line_store(spark, sf_dir).withColumn("pixels", pixels), *STORE, "row")
+    return longs(shown.select(*STORE, "row", "rank", "pixels.height", "pixels.width", "pixels.channels"), "rank", "height", "width", "channels")
+
+
+def report_time(spark, sf_dir):
+    """The report time beside every nation, as a text of a fixed form and within an hour of now."""
+    form = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{6}\+00:00$"
+    apart = F.abs(F.unix_timestamp(F.to_timestamp(scalars.utc_now())) - F.unix_timestamp(F.current_timestamp()))
+    return X.table(spark, sf_dir, "nation").select("n_nationkey", scalars.utc_now().rlike(form).alias("of_form"), (apart < 3600).alias("near"))
+
+
+def name_status(spark, sf_dir):
+    """Every customer's segment and nation as requested names of splits and cameras."""
+    both = X.table(spark, sf_dir, "customer").join(X.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return both.select(
+        "c_custkey",
+        splits.name_status("split", ["BUILDING", "MACHINERY"], F.col("c_mktsegment")).alias("split"),
+        splits.name_status("camera", ["FRANCE", "PERU", "CHINA"], F.col("n_name")).alias("camera"),
     )
-    rows = signals.metadata_rows(sessions).where("text is null")
+
+
+def null_keys(spark, sf_dir):
+    """Events whose id, order or frame is missing break the read contract."""
+    k = F.col("index")
+    steps = X.event_steps(spark, sf_dir).select(
+        k.alias("event_id"),
+        F.when(k % 11 != 0, F.col("episode_index")).alias("episode_index"),
+        F.when(k % 13 != 1, F.col("frame_index")).alias("frame_index"),
+        F.when(k % 17 != 2, k).alias("index"),
+    )
+    return source.null_keys(steps)
+
+
+def session_metadata(spark, sf_dir):
+    """Numbers of the metadata streams of all sessions."""
+    rows = signals.metadata_rows(_sessions(spark, sf_dir)).where("text is null")
     return rows.groupBy("entity_path").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
 
@@ -683,6 +742,125 @@ def validate_converted(spark, sf_dir):
     return longs(found, "check")
 
 
+def mixed_videos(spark, sf_dir):
+    """``conv_videos`` of which every third begins with a capital, which one of the decoders can't open."""
+    text = F.decode("content", "UTF-8")
+    capital = F.when(F.col("episode_index") % 3 == 0, F.concat(F.lit("T"), F.expr("substring(decode(content, 'UTF-8'), 2)"))).otherwise(text)
+    return conv_videos(spark, sf_dir).withColumn("content", F.encode(capital, "UTF-8"))
+
+
+def conversion_document(spark, sf_dir):
+    """The summary document of a conversion: the stores that it produced, by the decoders that it used."""
+    out = f"{X.scratch(spark)}/store"
+    convert(
+        spark, _conv_root(spark, sf_dir), out, "tables/conversations", DECODERS,
+        policy="drop", videos=mixed_videos(spark, sf_dir), report=f"{out}-report",
+    )
+    document = read_report(spark, f"{out}-report").select("repo_id", "status", "config", F.explode("splits").alias("s"))
+    files = document.select("repo_id", "status", "config.decoders", "config.dirty_episode_policy", "s.*", F.explode("s.produced_files").alias("file"))
+    return files.select(
+        "repo_id", "status", F.col("decoders").alias("resolved"), "dirty_episode_policy", "split", "action_taken", "kept_episode_count",
+        "file.camera", "file.n_rows", (F.col("file.n_files") > 0).alias("has_files"), F.inline("file.decoders"),
+    )
+
+
+def store_document(spark, sf_dir):
+    """The summary document of a validation over a broken store on disk."""
+    root, names = f"{X.scratch(spark)}/store", [b[0] for b in X.bounds(spark, sf_dir)]
+    named = attributes(spark, "tables/lineitem", 10, names, X.CAMERAS)
+    store.write_store(X.bad_store(spark, sf_dir), X.bad_index(spark, sf_dir), named, root, verify=False)
+    check_stores(spark, root, report=f"{root}-report", fail_on_error=False)
+    document = read_report(spark, f"{root}-report")
+    return document.select("mode", F.col("target_path").endswith("/store").alias("of_root"), F.inline("stores"))
+
+
+FAULTS = ("fewer", "mixed", "nested", "text", "torn", "whole")
+
+
+def _faulty_stores(spark, sf_dir):
+    """One store per split and fault, each with a camera named after it: sizes, bytes and types that are wrong."""
+    root, bounds = f"{X.scratch(spark)}/store", X.bounds(spark, sf_dir)
+    base, index = X.line_rows(spark, sf_dir), X.line_index(spark, sf_dir)
+    even = F.col("row") % 2 == 0
+    high = F.col("pixels").withField("height", F.when(even, 1).otherwise(2)).withField("data", F.when(even, F.col("pixels.data")).otherwise(F.lit(bytes(6))))
+    pixels = {"mixed": high, "text": F.lit("x"), "torn": F.col("pixels").withField("data", F.lit(b"12"))}
+    tables = {
+        "fewer": index.withColumn("ep_offset", F.when(F.col("ep_pos") != 5, F.col("ep_offset"))),
+        "nested": index.withColumn("ep_offset", F.array("ep_offset")),
+    }
+    for fault in FAULTS:
+        rows = splits.fan_out(base.withColumn("pixels", pixels.get(fault, F.col("pixels"))), [fault])
+        named = attributes(spark, "tables/lineitem", 10, [b[0] for b in bounds], [fault])
+        store.write_store(rows, tables.get(fault, index), named, root)
+    return root
+
+
+def faulty_stores(spark, sf_dir):
+    return longs(check_stores(spark, _faulty_stores(spark, sf_dir), fail_on_error=False)[1], "check")
+
+
+def inspected_faulty_stores(spark, sf_dir):
+    """Columns of stores whose columns differ in type."""
+    return check_stores(spark, _faulty_stores(spark, sf_dir), mode="inspect")[1]
+
+
+def replay_checks(spark, sf_dir):
+    """What a replay says of each of the faulty stores before it reads any step."""
+    root, said = _faulty_stores(spark, sf_dir), []
+    for r in store.records(spark, root):
+        try:
+            store_checks.check_replay_columns(store.read_store(spark, root, [r.store]), store.read_episode_table(spark, root, [r.store]))
+            said.append((*r.store, "ok"))
+        except (KeyError, ValueError) as e:
+            said.append((*r.store, type(e).__name__))
+    return spark.createDataFrame(said, "split string, camera string, outcome string")
+
+
+def requested_positions(spark, sf_dir):
+    """An episode position asked for by every order: below, inside and beyond the table, and of length zero."""
+    table = splits.fan_out(X.bad_index(spark, sf_dir), X.CAMERAS)
+    asked = X.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 3 == 0, "train").otherwise("val").alias("split"),
+        F.lit(X.CAMERAS[0]).alias("camera"),
+        (F.col("o_orderkey") % 1500 - 4).alias("ep_pos"),
+    )
+    return store.requested_bounds(asked, table)
+
+
+def overwritten_stores(spark, sf_dir):
+    """A write that meets existing stores is refused; an overwrite replaces its stores, here one by fewer rows and one by none."""
+    root, names = written(spark, sf_dir), [b[0] for b in X.bounds(spark, sf_dir)]
+    rows, index = X.line_store(spark, sf_dir), X.line_index(spark, sf_dir)
+    try:
+        store.write_store(rows, index, attributes(spark, "again", 10, names, X.CAMERAS), root)
+        refused = False
+    except FileExistsError:
+        refused = True
+    few = index.where("split = 'val' and ep_pos < 20")
+    end = few.agg(F.max(F.col("ep_offset") + F.col("ep_len"))).first()[0]
+    kept = rows.where((F.col("split") == "val") & (F.col("row") < end))
+    store.write_store(kept, few, attributes(spark, "again", 10, ["val", "test"], X.CAMERAS[:1]), root, "overwrite")
+    counted = store.read_store(spark, root).groupBy(*STORE).agg(F.count(F.lit(1)).alias("n_rows"), F.max("row").alias("last"))
+    listed = store.read_attributes(spark, root).select(*STORE, "source_repo_id")
+    return listed.join(counted, STORE, "left").na.fill(0, ["n_rows"]).withColumn("refused", F.lit(refused))
+
+
+def compressions(spark, sf_dir):
+    """The same store under every codec, read back."""
+    out, names = None, [b[0] for b in X.bounds(spark, sf_dir)]
+    for codec in store.CODECS:
+        root = f"{X.scratch(spark)}/store"
+        named = attributes(spark, "tables/lineitem", 10, names, X.CAMERAS[:1])
+        store.write_store(X.line_store(spark, sf_dir).where(F.col("camera") == X.CAMERAS[0]), X.line_index(spark, sf_dir), named, root, compression=codec)
+        part = store.read_store(spark, root).groupBy("split").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("index").alias("total"), F.sum(F.octet_length("pixels.data")).cast("long").alias("bytes")
+        )
+        part = part.withColumn("compression", F.lit(codec))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def conversion_report(spark, sf_dir):
     """Lines of the report of a conversion: every requested episode with its messages."""
     out = f"{X.scratch(spark)}/store"
@@ -783,6 +961,20 @@ QUERIES = {
     "f7_resize_up": resize_up,
     "u4_decode_texts": decode_texts,
     "a7_decoder_counts": decoder_counts,
+    "s4_u4_decode_from_files": decode_from_files,
+    "s8_overwritten_stores": overwritten_stores,
+    "s9_compressions": compressions,
+    "v3_v5_v6_faulty_stores": faulty_stores,
+    "a3_inspected_faulty_stores": inspected_faulty_stores,
+    "v17_replay_checks": replay_checks,
+    "v18_requested_positions": requested_positions,
+    "u2_image_rank": image_rank,
+    "u3_f10_session_documents": session_documents,
+    "f12_report_time": report_time,
+    "p6_p7_name_status": name_status,
+    "p12_null_keys": null_keys,
+    "s10_a7_conversion_document": conversion_document,
+    "s11_store_document": store_document,
     "u1_signals_long": signals_long,
     "p9_step_window": step_window,
     "u2_image_stream": image_stream,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -205,3 +206,21 @@ def text_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Decoding costs far more than moving a file, so files are spread evenly.
     return files.repartition("episode_index", "camera")
+
+
+def written_texts(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a dataset whose videos are the whole document texts, each a file of its own, written by the tasks."""
+    root = scratch(spark)
+    rows = text_videos(spark, sf_dir).select("episode_index", "camera", "content")
+    local = root.removeprefix("file:")
+
+    def write(batches):
+        for batch in batches:
+            for episode, camera, content in zip(*(c.to_pylist() for c in batch.columns)):
+                folder = Path(local, "videos", camera)
+                folder.mkdir(parents=True, exist_ok=True)
+                folder.joinpath(f"episode_{episode:06d}.txt").write_bytes(content or b"")
+            yield batch.select(["episode_index"])
+
+    rows.mapInArrow(write, "episode_index long").write.format("noop").mode("overwrite").save()
+    return root

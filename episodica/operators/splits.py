@@ -55,6 +55,12 @@ def _known(what: str, available: list[str], wanted: Sequence[str]) -> list[str]:
     return list(wanted) or available
 
 
+def name_status(what: str, available: Sequence[str], name: Column) -> Column:
+    """``ok`` for a known name, else the text that ``split_bounds`` and ``resolve_cameras`` raise for it."""
+    text = F.concat(F.lit(f"Unknown {what} '"), F.coalesce(name, F.lit("None")), F.lit(f"'. Available: {list(available)}."))
+    return F.when(name.isin(list(available)), "ok").otherwise(text)
+
+
 def select_split(df: DataFrame, bounds: Bounds, split: str, key: str = "episode_index") -> DataFrame:
     """Rows of one split; the range reaches the Parquet scan."""
     start, end = next((s, e) for n, s, e in bounds if n == split)

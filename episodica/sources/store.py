@@ -188,6 +188,15 @@ def episode_bounds(episode_table: DataFrame, split: str, camera: str, ep_pos: in
     return row.ep_offset, row.ep_len
 
 
+def requested_bounds(requests: DataFrame, episode_table: DataFrame) -> DataFrame:
+    """``requests`` (split, camera, ep_pos, ...) with ep_offset, ep_len and status of the episodes: what ``episode_bounds``
+    returns or raises for one of them, for any number at once. status: ``ok``, ``outside`` or ``empty``.
+    """
+    found = episode_table.select(*STORE_KEYS, "ep_pos", "ep_offset", "ep_len")
+    status = F.when(F.col("ep_len").isNull(), "outside").when(F.col("ep_len") <= 0, "empty").otherwise("ok")
+    return requests.join(found, [*STORE_KEYS, "ep_pos"], "left").withColumn("status", status)
+
+
 def select_episode(rows: DataFrame, split: str, camera: str, offset: int, length: int) -> DataFrame:
     """Rows of one slice: partitions and row range are pruned by the scan."""
     return rows.where(
