@@ -195,7 +195,7 @@ def test_equal_ids_start_anew(spark, monkeypatch):
     """With ids of few bits words fall together; that is noticed."""
     docs = spark.createDataFrame([(k, "en", f"a{k} b{k} c{k}") for k in range(200)], "doc_id long, lang string, text string")
     assert phrase_trie.vocabulary(docs).count() == 600
-    narrow = phrase_trie.vocabulary(docs).selectExpr("id & 15 as id", "word")
+    narrow = phrase_trie.vocabulary(docs).selectExpr("id & 15L as id", "word")
     assert narrow.distinct().count() > narrow.select("id").distinct().count()
 
 
