@@ -45,18 +45,19 @@ for _chars, _kind in (
 ):
     _CLASS[list(_chars)] = _kind
 _CLASS = _CLASS.astype(np.uint8)
-# Piece of a text whose worst value is a feature of its own, in bytes.
-PIECE = 512
+# Piece of a text whose worst value is a feature of its own, in bytes and in pairs of words.
+PIECE, PAIRS = 512, 32
 # Bins of a feature in its own table, and in the tables of pairs.
 BINS, PAIR_BINS = 32, 8
 
 
-def _worst(kinds: np.ndarray, kind: tuple[int, ...]) -> float:
-    n = len(kinds)
-    if n < PIECE:
-        return float(np.isin(kinds, kind).mean()) if n else 0.0
-    whole = np.isin(kinds[: n // PIECE * PIECE], kind).reshape(-1, PIECE)
-    return float(whole.mean(1).max())
+def _worst(hits: np.ndarray, piece: int) -> float:
+    """The largest share of hits in a piece: the pieces from the start, and the last one, which ends with the text."""
+    n = len(hits)
+    if n < piece:
+        return float(hits.mean()) if n else 0.0
+    whole = hits[: n // piece * piece].reshape(-1, piece)
+    return max(float(whole.mean(1).max()), float(hits[-piece:].mean()))
 
 
 def text_features(text: str) -> list[float]:
@@ -71,7 +72,6 @@ def text_features(text: str) -> list[float]:
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     lines = [x for x in text.split("\n") if x.strip()]
     letters = max(1, int(c[0] + c[1] + c[9]))
-    near = same[: len(same) // 32 * 32].reshape(-1, 32).mean(1).max() if len(same) >= 32 else same.mean() if len(same) else 0.0
     return [
         np.log1p(len(text)),
         np.log1p(len(words)),
@@ -90,9 +90,9 @@ def text_features(text: str) -> list[float]:
         float((lengths <= 3).sum()) / m,
         float((lengths >= 13).sum()) / m,
         c[9] / n,
-        _worst(kinds, (1,)),
-        _worst(kinds, (6, 7, 8)),
-        float(near),
+        _worst(kinds == 1, PIECE),
+        _worst((kinds >= 6) & (kinds <= 8), PIECE),
+        _worst(same, PAIRS),
     ]
 
 
