@@ -7,9 +7,9 @@ the order is cut there.
 The sizes of all groups never meet on the driver. The hash is taken in levels of 12 bits: the driver
 gets the totals of the segments of one level, and searches twice, once as if a shard could end anywhere
 inside a segment (a capacity below cannot do) and once as if only between segments (that capacity
-will do). Only segments in which a cut can fall between these bounds are opened to the next level,
-until every such segment is a single group; then both searches agree. So at most 4096 rows for
-each open segment come to the driver, whatever the number of rows.
+will do). Segments that hold more than a 64th of a shard are opened first, until a hot group stands
+apart; then only those in which a cut can fall between the bounds, until every such segment is a single group
+and both searches agree. So at most 4096 rows for each open segment come to the driver, and few are open.
 
 Slots come from counts per shard and bucket of ids (``SLOT_BUCKETS`` rows for each shard, a fixed
 bound) and a window over one bucket.
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from episodica.llm.common import stored, table
 
 SHARDS, LEVEL_BITS, SLOT_BUCKETS = 8, 12, 4096
+# A segment of several groups is large if it holds more than this part of a shard's even share.
+LARGE = 64
 
 
 @dataclass(frozen=True, order=True)
@@ -78,18 +80,21 @@ def smallest_capacity(segments: list[Segment], shards: int, anywhere: bool) -> i
     return low
 
 
-def segment_totals(groups: DataFrame, opened: list[Segment] | None, bits_done: int) -> list[Segment]:
-    """The segments of the next level, of the whole order or of the ``opened`` segments, in order."""
-    width = 1 << (64 - min(64, bits_done + LEVEL_BITS))
-    place = F.shiftrightunsigned("order_key", (width - 1).bit_length() if width > 1 else 0)
-    chosen = groups
-    if opened is not None:
-        above = F.shiftrightunsigned("order_key", 64 - bits_done)
-        prefix = [_signed(s.first >> (64 - bits_done)) for s in opened]
-        chosen = groups.where(above.isin(prefix))
-    rows = chosen.groupBy(place.alias("place")).agg(F.sum("size").alias("size"), F.count_distinct("order_key").alias("groups")).collect()
-    starts = [((r.place % (1 << 64)) * width, r) for r in rows]
-    return sorted(Segment(a, a + width, int(r["size"]), int(r["groups"])) for a, r in starts)
+def segment_totals(groups: DataFrame, opened: list[Segment] | None = None) -> list[Segment]:
+    """The segments of the first level, or those of the next level below each of the ``opened`` ones, in order."""
+    by_depth: dict[int, list[Segment]] = {0: []} if opened is None else {}
+    for s in opened or ():
+        by_depth.setdefault(64 - (s.end - s.first).bit_length() + 1, []).append(s)
+    out = []
+    for depth, above in by_depth.items():
+        width = 1 << (64 - min(64, depth + LEVEL_BITS))
+        place = F.shiftrightunsigned("order_key", width.bit_length() - 1)
+        prefixes = [_signed(s.first >> (64 - depth)) for s in above]
+        chosen = groups.where(F.shiftrightunsigned("order_key", 64 - depth).isin(prefixes)) if above else groups
+        rows = chosen.groupBy(place.alias("place")).agg(F.sum("size").alias("size"), F.count_distinct("order_key").alias("groups")).collect()
+        starts = [((r.place % (1 << 64)) * width, r) for r in rows]
+        out += [Segment(a, a + width, int(r["size"]), int(r["groups"])) for a, r in starts]
+    return sorted(out)
 
 
 def _signed(x: int) -> int:
@@ -101,19 +106,21 @@ def find_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
 
     ``groups``: order_key long and size long; a key's rows may be many, and count together.
     """
-    segments, bits = segment_totals(groups, None, 0), LEVEL_BITS
+    segments = segment_totals(groups)
+    total = sum(s.size for s in segments)
     while True:
         low, high = smallest_capacity(segments, shards, True), smallest_capacity(segments, shards, False)
         if low == high:
             plain = greedy(segments, high, False)
             if _same_cuts(segments, plain[1], greedy(segments, high, True)[1]):
                 return high, [segments[k].first for k, _ in plain[1]]
-        opened = _open(segments, low, high, shards)
+        # A large segment would blur the bounds of all cuts, so it is opened alone until its hot group stands apart.
+        large = [s for s in segments if s.groups > 1 and s.size * shards * LARGE > total]
+        opened = large or _open(segments, low, high, shards)
         if not opened:
             return high, [segments[k].first for k, _ in greedy(segments, high, False)[1]]
-        finer = segment_totals(groups, opened, bits)
         gone = set(opened)
-        segments, bits = sorted([s for s in segments if s not in gone] + finer), bits + LEVEL_BITS
+        segments = sorted([s for s in segments if s not in gone] + segment_totals(groups, opened))
 
 
 def _same_cuts(segments: list[Segment], plain, loose) -> bool:
