@@ -220,4 +220,25 @@ def op10_minhash_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_minhash_tensor": op10_minhash_tensor}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op10_minhash_tensor": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents
+), shingles as (
+  select distinct doc_id, unnest(case when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from words
+), sizes as (select doc_id, count(*) as n from shingles group by 1),
+common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2
+), links as (
+  select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * c >= 80 * (p.n + q.n - c)
+), edges as (select x, y from links union all select y, x from links),
+reached as (
+  select doc_id as x, doc_id as y from words
+  union select r.x, b.y from reached r join edges b on b.x = r.y
+)
+select r.x as doc_id, coalesce(any_value(n), 0) as n_shingles, min(r.y) as component_id, min(r.y) = r.x as kept
+from reached r left join sizes s on s.doc_id = r.x group by r.x
+"""
+}
