@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Sequence
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 
 from pyspark.errors import AnalysisException
@@ -259,9 +259,7 @@ def write_store(
     written.add("n_rows", F.lit(True))
     if "pixels" in rows.columns and {*K.PIXELS.names} <= {*getattr(rows.schema["pixels"].dataType, "names", ())}:
         size = F.col("pixels.height").cast("long") * F.col("pixels.width") * F.col("pixels.channels")
-        written.add("n_torn", F.col("pixels").isNotNull() & (F.coalesce(F.octet_length("pixels.data"), F.lit(-1)) != size))
-    else:
-        written.add("n_torn", F.lit(False))
+        written.whole("n_torn", F.col("pixels").isNotNull() & (F.coalesce(F.octet_length("pixels.data"), F.lit(-1)) != size))
     if DECODER in rows.columns:
         written.count_values("decoders", F.when(F.col(OPENS), F.col(DECODER)))
     listed = _Observed(index, stores)
@@ -286,7 +284,7 @@ def write_store(
     lines = []
     for s in stores:
         attribute = {n: getattr(named[s], n) for n in K.ATTRIBUTES_SCHEMA.names if n != "complete"}
-        observed = {n: figures[s][n] for n in ("n_rows", "n_torn")} | {"decoders": figures[s].get("decoders", {})}
+        observed = {"n_rows": figures[s]["n_rows"], "n_torn": figures[s].get("n_torn", 0), "decoders": figures[s].get("decoders", {})}
         # A store with rows and no episodes has no episode table.
         known = index_columns if figures[s]["n_index"] or not figures[s]["n_rows"] else None
         lines.append({**attribute, "version": version, **observed, "n_files": n_files.get(s, 0), "columns": columns, "index_columns": known})
@@ -298,7 +296,7 @@ class _Observed:
     """Figures of every store, taken while the rows of a DataFrame pass by on their way into files."""
 
     def __init__(self, df: DataFrame, stores: Stores):
-        self.df, self.stores, self.cells, self.values, self.seen = df, stores, {}, {}, []
+        self.df, self.stores, self.cells, self.values, self.wholes, self.seen = df, stores, {}, {}, [], []
 
     def _of(self, k: int):
         split, camera = self.stores[k]
@@ -309,6 +307,11 @@ class _Observed:
         for k in range(len(self.stores)):
             self.cells[f"{name}_{k}"] = F.count_if(self._of(k) & condition)
 
+    def whole(self, name: str, condition) -> None:
+        """How many rows of all stores together fulfil a condition."""
+        self.wholes.append(name)
+        self.cells[f"{name}_0"] = F.count_if(condition)
+
     def total(self, name: str, value) -> None:
         for k in range(len(self.stores)):
             self.cells[f"{name}_{k}"] = F.coalesce(F.sum(F.when(self._of(k), value)), F.lit(0))
@@ -327,14 +330,17 @@ class _Observed:
             out = out.observe(self.seen[-1], *[c.alias(n) for n, c in cells[at : at + OBSERVED]])
         return out
 
+    @cached_property
+    def found(self) -> dict:
+        return {n: v for o in self.seen for n, v in o.get.items()}
+
     def get(self, store: tuple[str, str]) -> dict:
-        found = {n: v for o in self.seen for n, v in o.get.items()}
         k = list(self.stores).index(store)
         out = {}
         for name in self.cells:
             stem, _, number = name.rpartition("_")
-            if int(number) == k:
-                out[stem] = int(found.get(name) or 0)
+            if int(number) == k or stem in self.wholes:
+                out[stem] = int(self.found.get(name) or 0)
         for name, values in self.values.items():
             counts = {one: out.pop(f"{name}_{at}") for at, one in enumerate(values)}
             out[name] = {one: n for one, n in counts.items() if n}
