@@ -12,7 +12,6 @@ from collections.abc import Iterable, Sequence
 from functools import cached_property, reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +19,7 @@ from pyspark.sql import types as T
 from episodica.functions import fixed as K
 from episodica.functions.names import camera_slug, match_camera
 from episodica.sources.reports import PRODUCED
-from episodica.sources.versions import Record, files_per_store, last_commit, publish, published
+from episodica.sources.versions import Record, exists, files_per_store, last_commit, publish, published
 
 # Parquet codec per option; lz4_raw stands for the fast codec, which Parquet does not have.
 CODECS = {"none": "none", "lzf": "lz4_raw", "gzip": "gzip"}
@@ -60,19 +59,15 @@ def records(spark: SparkSession, root: str, stores: Stores | None = None) -> lis
 
 def _without_commits(spark: SparkSession, root: str, known: set[tuple[str, str]]) -> list[Record]:
     """Records of complete stores of the older layout, steps/split=/camera= with an attribute table."""
-    try:
-        rows = spark.read.schema(K.ATTRIBUTES_SCHEMA).parquet(f"{root}/attributes").where("complete").drop("complete").collect()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
+    if not exists(spark, f"{root}/attributes"):
+        return []
+    rows = spark.read.schema(K.ATTRIBUTES_SCHEMA).parquet(f"{root}/attributes").where("complete").drop("complete").collect()
 
     def footer(kind: str, split: str, camera: str) -> T.StructType | None:
         keys = T.StructType([T.StructField(k, T.StringType()) for k in STORE_KEYS])
-        try:
-            files = _older_files(spark, root, kind, keys).where((F.col("split") == split) & (F.col("camera") == camera)).inputFiles()
-        except AnalysisException:
+        if not exists(spark, f"{root}/{kind}"):
             return None
+        files = _older_files(spark, root, kind, keys).where((F.col("split") == split) & (F.col("camera") == camera)).inputFiles()
         return spark.read.parquet(files[0]).schema if files else None
 
     out = []
