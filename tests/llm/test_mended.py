@@ -56,11 +56,11 @@ def test_only_unseen_texts_pass(spark, tmp_path):
 
 def test_clashing_names(spark, tmp_path):
     rows = [(1, "token=abcdef", 7, b"b", 3, "s"), (2, None, 8, b"b", 4, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, found_spans long, versions_blob binary, versions_salt int, `a.b` string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, found_spans long, versions_blob binary, versions_salt int, key string")
     ledger = str(tmp_path / "ledger")
     secret_ledger.scan(docs, ledger)
     out = {r.doc_id: r for r in secret_ledger.masked(docs, ledger).collect()}
-    assert out[1].text == "[secret]" and out[2].text is None and out[1].found_spans == 7 and bytes(out[2].versions_blob) == b"b" and out[1]["a.b"] == "s"
+    assert out[1].text == "[secret]" and out[2].text is None and out[1].found_spans == 7 and bytes(out[2].versions_blob) == b"b" and out[1].key == "s"
     named = secret_ledger.findings(docs, ledger, name="hits")
     assert named.columns == [*docs.columns, "hits"]
     with pytest.raises(ValueError):
