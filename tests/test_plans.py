@@ -5,18 +5,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import importlib
-
 from episodica import check_stores, convert, replay
-from episodica.operators.quality import DirtyEpisodes
-from episodica.plans.check import InvalidStore
 from episodica.operators.frames import decode
-from episodica.operators.quality import runs
+from episodica.operators.quality import DirtyEpisodes, runs
+from episodica.plans import convert as plans
+from episodica.plans.check import InvalidStore
 from episodica.plans.convert import locate
 from episodica.sources import steps as source
 from episodica.sources import store
 
-plans = importlib.import_module("episodica.plans.convert")
 CAMERAS = ["observation.images.front", "observation.images.wrist"]
 LENGTHS = [3, 4, 2, 5, 3]
 
