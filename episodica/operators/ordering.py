@@ -11,6 +11,7 @@ repeat so often that a range is too large, the next order columns cut it.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -36,12 +37,7 @@ _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 def materialised(df: DataFrame) -> tuple[DataFrame, int]:
     """Write ``df`` to the cluster's checkpoint folder; return it with its row count."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not sc.master.startswith("local["):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="episodica-"))
+    _checkpoint_folder(df)
     size = Observation()
     done = df.observe(size, F.count(F.lit(1)).alias("n")).checkpoint()
     if (made := _made.get()) is not None:
@@ -50,6 +46,28 @@ def materialised(df: DataFrame) -> tuple[DataFrame, int]:
     return done, size.get["n"]
 
 
+def spooled(df: DataFrame, figure: Column | None = None) -> tuple[DataFrame, int]:
+    """Write ``df`` as Parquet to the checkpoint folder, a fraction of what rows take; return it with its row count, or with ``figure`` over its rows."""
+    spark = df.sparkSession
+    path = f"{_checkpoint_folder(df)}/{uuid.uuid4().hex}"
+    size = Observation()
+    counted = df.observe(size, (F.count(F.lit(1)) if figure is None else figure).alias("n"))
+    counted.write.option("compression", "zstd").option("parquet.writer.version", "v2").parquet(path)
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return spark.read.schema(df.schema).parquet(path), size.get["n"]
+
+
+def _checkpoint_folder(df: DataFrame) -> str:
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local["):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="episodica-"))
+    return sc.getCheckpointDir()
+
+
 @contextmanager
 def dropping_tables(spark: SparkSession) -> Iterator[None]:
     """Delete what ``materialised`` wrote inside, at the end; results that are still lazy can't be read after."""

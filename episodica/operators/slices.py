@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from episodica.operators.ordering import spooled
+
 # Rows per block, as a power of two: near the length of an episode, so that a slice covers few
 # blocks and a block meets few slices.
 BLOCK_BITS = 6
@@ -110,53 +112,77 @@ def slice_units(slices: DataFrame, bits: Sequence[int] = UNIT_BITS) -> DataFrame
     return slices.select("*", F.inline(F.concat(*pieces)))
 
 
-def unit_summaries(rows: DataFrame, keys: Sequence[str], bits: Sequence[int] = UNIT_BITS) -> DataFrame:
-    """Rows, and rows folded into units of every level: what the slice checks need to know of them.
+# Rows of a block whose places in it are the bits of one long.
+PIECE_BITS = 6
+
 
-    Units of all levels are folded in one pass, before the shuffle.
+def row_pieces(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows folded by block of 64, lead (step_idx - row) and episode: which places of the block they take, as bits.
+
+    present and dones: bits of the rows, and of those that are done; n and n_done: numbers of them; times: how often each
+    bit counts. A clean episode is one piece for each block that it touches. Rows that share a place can't be told by
+    bits; the rows of such a block are pieces of their own, with ``times`` as their number.
     """
+    bit = F.expr(f"shiftleft(1L, cast(row & {(1 << PIECE_BITS) - 1} as int))")
     narrow = rows.select(
         *keys,
-        "row",
+        F.shiftright("row", PIECE_BITS).alias("block"),
         (F.col("step_idx") - F.col("row")).alias("lead"),
         F.col("episode_idx").alias("ep"),
         F.coalesce(F.col("done"), F.lit(False)).alias("done"),
+        bit.alias("bit"),
+    ).where("block is not null")
+    done = F.coalesce(F.bit_or(F.when(F.col("done"), F.col("bit"))), F.lit(0).cast("long"))
+    n, one = F.count(F.lit(1)), F.lit(1).cast("long")
+    folded = narrow.groupBy(*keys, "block", "lead", "ep").agg(
+        F.bit_or("bit").alias("present"), done.alias("dones"), n.alias("n"), F.count_if("done").alias("n_done")
     )
-    single = narrow.select(
-        *keys,
-        F.lit(0).alias("level"),
-        F.col("row").alias("unit"),
-        F.lit(1).cast("long").alias("n"),
-        F.col("lead").alias("min_lead"),
-        F.col("lead").alias("max_lead"),
-        F.col("ep").alias("min_ep"),
-        F.col("ep").alias("max_ep"),
-        F.col("done").cast("long").alias("n_done"),
-        F.col("done").alias("ends_done"),
+    shared = F.col("n") != F.bit_count("present")
+    pieces, n_shared = spooled(folded.withColumn("times", one), F.count_if(shared))
+    if not n_shared:
+        return pieces
+    blocks = pieces.where(shared).select(*keys, "block").distinct()
+    apart = narrow.join(blocks, [*keys, "block"], "left_semi").groupBy(*keys, "block", "lead", "ep", "bit", "done").agg(n.alias("n"))
+    apart = apart.select(
+        *keys, "block", "lead", "ep", F.col("bit").alias("present"), F.when(F.col("done"), F.col("bit")).otherwise(0).alias("dones"),
+        "n", F.when(F.col("done"), F.col("n")).otherwise(0).alias("n_done"), F.col("n").alias("times"),
+    )
+    return pieces.join(blocks, [*keys, "block"], "left_anti").unionByName(apart)
+
+
+def slice_edges(slices: DataFrame) -> DataFrame:
+    """The blocks that a slice [lo, hi) holds in part, at most two: its columns, block, and the first and last place in it."""
+    size = 1 << PIECE_BITS
+    first, last = F.shiftright("lo", PIECE_BITS), F.shiftright(F.col("hi") - 1, PIECE_BITS)
+    place = lambda c: c.bitwiseAND(F.lit(size - 1).cast("long")).cast("int")
+    in_one, opens, cut = first == last, place(F.col("lo")) != 0, place(F.col("hi")) != 0
+    to = F.when(in_one, place(F.col("hi") - 1)).otherwise(size - 1)
+    pieces = F.array(
+        F.when(opens | (in_one & cut), F.struct(first.alias("block"), place(F.col("lo")).alias("from"), to.alias("to"))),
+        F.when(~in_one & cut, F.struct(last.alias("block"), F.lit(0).alias("from"), place(F.col("hi") - 1).alias("to"))),
     )
+    return slices.select("*", F.inline(F.array_compact(pieces)))
+
+
+def unit_summaries(pieces: DataFrame, keys: Sequence[str], bits: Sequence[int]) -> DataFrame:
+    """Pieces folded into units of every level: what the slice checks need to know of them."""
+    figures = [
+        F.sum("n").alias("n"), F.min("min_lead").alias("min_lead"), F.max("max_lead").alias("max_lead"),
+        F.min("min_ep").alias("min_ep"), F.max("max_ep").alias("max_ep"), F.sum("n_done").alias("n_done"),
+    ]
+    single = pieces.withColumns({"min_lead": F.col("lead"), "max_lead": F.col("lead"), "min_ep": F.col("ep"), "max_ep": F.col("ep")})
+    # The last place of a block is the sign of its bits.
+    blocks = single.groupBy(*keys, "block").agg(*figures, F.bool_or(F.col("dones") < 0).alias("ends_done"))
     holders = [
         F.struct(
             F.lit(k).alias("level"),
-            F.shiftright("row", b).alias("unit"),
-            ((F.col("row") + 1) % (1 << b) == 0).alias("closes"),
+            F.shiftright("block", b - PIECE_BITS).alias("unit"),
+            ((F.col("block") + 1) % (1 << (b - PIECE_BITS)) == 0).alias("closes"),
         )
         for k, b in enumerate(bits)
-        if k > 0
     ]
-    folded = (
-        narrow.select("*", F.inline(F.array(*holders)))
-        .groupBy(*keys, "level", "unit")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("lead").alias("min_lead"),
-            F.max("lead").alias("max_lead"),
-            F.min("ep").alias("min_ep"),
-            F.max("ep").alias("max_ep"),
-            F.count_if("done").alias("n_done"),
-            F.bool_or(F.col("closes") & F.col("done")).alias("ends_done"),
-        )
-    )
-    return single.unionByName(folded)
+    spread = blocks.select("*", F.inline(F.array(*holders)))
+    return spread.groupBy(*keys, "level", "unit").agg(*figures, F.bool_or(F.col("closes") & F.col("ends_done")).alias("ends_done"))
 
 
 def summarise_slices(
@@ -164,17 +190,33 @@ def summarise_slices(
 ) -> DataFrame:
     """Per slice with rows: keys, ep_pos, found, bad_steps, mixed, ends_done, early_done.
 
-    ``slices`` lie inside the rows and are not empty. Overlaps cost no more than gaps.
+    ``slices`` lie inside the rows and are not empty. Overlaps cost no more than gaps: a slice meets the pieces of
+    the two blocks at its ends, and whole units between them.
     """
-    keys = list(keys)
+    keys, bits = list(keys), [b for b in bits if b >= PIECE_BITS]
     bounds = {"lo": F.col("ep_offset"), "hi": F.col("ep_offset") + F.col("ep_len")}
-    units = slice_units(slices.select(*keys, "ep_pos", "ep_offset", "ep_len").withColumns(bounds), bits)
+    bounded = slices.select(*keys, "ep_pos", "ep_offset", "ep_len").withColumns(bounds).drop("ep_offset", "ep_len")
+    pieces = row_pieces(rows, keys)
+
+    inside = F.expr(f"shiftleft(-1L, `from`) & shiftrightunsigned(-1L, {(1 << PIECE_BITS) - 1} - `to`)")
+    here, dones = F.col("present").bitwiseAND(F.col("inside")), F.col("dones").bitwiseAND(F.col("inside"))
+    # Only the piece of the end has the place before ``hi``.
+    final = F.col("block") * (1 << PIECE_BITS) + F.col("to") + 1 == F.col("hi")
+    met = pieces.join(slice_edges(bounded).withColumn("inside", inside), [*keys, "block"]).where(here != 0)
+    cut = met.select(
+        *keys, "ep_pos", "lo",
+        (F.bit_count(here) * F.col("times")).alias("n"),
+        *[F.col(c).alias(f"{m}_{c}") for c in ("lead", "ep") for m in ("min", "max")],
+        (F.bit_count(dones) * F.col("times")).alias("n_done"),
+        (final & (F.expr("shiftrightunsigned(dones, `to`) & 1L") == 1)).alias("ends_done"),
+    )
+    units = slice_units(bounded, bits)
     size = F.element_at(F.array(*[F.lit(1 << b).cast("long") for b in bits]), F.col("level") + 1)
     closes = (F.col("unit") + 1) * size == F.col("hi")
-    ends_done = F.coalesce(F.bool_or(closes & F.col("ends_done")), F.lit(False))
+    whole = unit_summaries(pieces, keys, bits).join(units, [*keys, "level", "unit"]).withColumn("ends_done", closes & F.col("ends_done"))
+    ends_done = F.coalesce(F.bool_or("ends_done"), F.lit(False))
     return (
-        unit_summaries(rows, keys, bits)
-        .join(units, [*keys, "level", "unit"])
+        cut.unionByName(whole.select(*cut.columns))
         .groupBy(*keys, "ep_pos")
         .agg(
             F.sum("n").alias("found"),
