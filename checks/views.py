@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from episodica.operators.episodes import episode_table, step_counts
-from episodica.operators.ordering import row_position
+from episodica.operators.ordering import row_position, spooled
 from episodica.operators.splits import assign_splits, fan_out
 from episodica.sources.store import store_rows, with_proprio
 
 CAMERAS = ["observation.images.top", "observation.images.wrist"]
+CELLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 # Dirties a known minority of episodes, see FIXTURES.md.
 RECIPE = {
     "frame_index": "step0 + (case when ep % 13 = 5 then 1 else 0 end)"
@@ -57,21 +58,31 @@ def conv_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _recipe(conv_base(spark, sf_dir))
 
 
-def line_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line_base`` with its vectors as single cells, which take half the room in a shuffle."""
     of_order = Window.partitionBy("l_orderkey")
     at = of_order.orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("ep"),
         (F.row_number().over(at) - 1).cast("long").alias("step0"),
         F.count(F.lit(1)).over(of_order).alias("n"),
-        F.array("l_quantity", "l_discount").cast("array<float>").alias("action"),
-        F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax").cast("array<float>").alias("state"),
+        *[F.col(c).cast("float").alias(c) for c in CELLS],
     )
     return lines.select(
         "*", (F.col("ep") * 100 + F.col("step0")).alias("ord"), (F.col("step0") == F.col("n") - 1).alias("is_last")
     )
 
 
+def _vectors(lines: DataFrame) -> DataFrame:
+    """The cells put together as action and state."""
+    action, state = F.array("l_quantity", "l_discount"), F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return lines.withColumns({"action": action, "state": state}).drop(*CELLS)
+
+
+def line_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vectors(_line_cells(spark, sf_dir)).select("ep", "step0", "n", "action", "state", "ord", "is_last")
+
+
 def line_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _recipe(line_base(spark, sf_dir), "action", "state")
 
@@ -129,29 +140,74 @@ def bounds(spark: SparkSession, sf_dir: str, name: str = "orders") -> list[tuple
     return [("train", 0, a), ("val", a, b), ("test", b, n)]
 
 
-def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a clean store, the same for every camera: split, row and every per-step column."""
-    steps = assign_splits(clean_steps(spark, sf_dir), bounds(spark, sf_dir))
-    rows = with_proprio(store_rows(row_position(steps, group=["split"])))
+def split_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean steps with their split and without what follows from other columns, written once for all that reads them."""
+    cells = _line_cells(spark, sf_dir).select(
+        F.col("ep").alias("episode_index"), F.col("step0").alias("frame_index"), F.col("is_last").alias("done"), F.col("ord").alias("index"), *CELLS
+    )
+    return spooled(assign_splits(cells, bounds(spark, sf_dir)))[0]
+
+
+def full_steps(cells: DataFrame) -> DataFrame:
+    """``split_cells`` with every column of the step schema."""
+    return _vectors(cells).select(
+        "episode_index",
+        "frame_index",
+        "done",
+        (F.col("frame_index") / 10).cast("float").alias("timestamp"),
+        "index",
+        (F.col("episode_index") % 7).alias("task_index"),
+        "action",
+        "state",
+        *[c for c in cells.columns if c in ("split", "row")],
+    )
+
+
+def _rows_of(cells: DataFrame) -> DataFrame:
+    rows = with_proprio(store_rows(full_steps(cells)))
     colour = F.unhex(F.lpad(F.hex(F.col("row") % 16777216), 6, "0"))
     one = F.lit(1)
     pixels = F.struct(one.alias("height"), one.alias("width"), F.lit(3).alias("channels"), colour.alias("data"))
     return rows.withColumn("pixels", pixels)
 
 
+def _index_of(cells: DataFrame) -> DataFrame:
+    return episode_table(spooled(step_counts(cells, ["split"]))[0])
+
+
+def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a clean store, the same for every camera: split, row and every per-step column."""
+    return _rows_of(row_position(split_cells(spark, sf_dir), group=["split"]))
+
+
+def line_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``line_rows`` and ``line_index`` of the same steps, each written once for all that reads it."""
+    cells = split_cells(spark, sf_dir)
+    return _rows_of(spooled(row_position(cells, group=["split"]))[0]), spooled(_index_of(cells))[0]
+
+
 def line_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A clean store without files."""
     return fan_out(line_rows(spark, sf_dir), CAMERAS)
 
 
 def line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = assign_splits(clean_steps(spark, sf_dir), bounds(spark, sf_dir))
-    return episode_table(step_counts(steps, ["split"]))
+    return _index_of(assign_splits(clean_steps(spark, sf_dir), bounds(spark, sf_dir)))
+
+
+def bad_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``bad_store`` and ``bad_index`` of the same steps."""
+    rows, index = line_tables(spark, sf_dir)
+    return _bad_rows(fan_out(rows, CAMERAS)), _bad_slices(index)
 
 
 def bad_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``line_store`` with wrong steps, done flags, missing actions and a two-channel camera."""
-    return line_store(spark, sf_dir).withColumns(
+    return _bad_rows(line_store(spark, sf_dir))
+
+
+def _bad_rows(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(
         {
             "action": F.when(F.col("row") % 1009 != 5, F.col("action")),
             "step_idx": F.col("step_idx") + F.when(F.col("episode_idx") % 79 == 4, 1).otherwise(0),
@@ -165,7 +221,10 @@ def bad_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bad_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``line_index`` with broken lengths and offsets, see FIXTURES.md."""
-    index = line_index(spark, sf_dir)
+    return _bad_slices(line_index(spark, sf_dir))
+
+
+def _bad_slices(index: DataFrame) -> DataFrame:
     final = index.groupBy("split").agg(F.max("ep_pos").alias("final"))
     pos = F.col("ep_pos")
     return (

@@ -8,7 +8,8 @@ read without opening the files of another, and a failed or empty overwrite leave
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import cached_property, reduce
 from operator import and_
 
@@ -27,6 +28,10 @@ STORE_KEYS = ["split", "camera"]
 # Pixels per block of consecutive rows. Files hold whole blocks, so a slice touches few files,
 # and a block fits one task whatever the size of a frame.
 BLOCK_BYTES = 1 << 28
+# Differences for whole numbers and prefixes for bytes: positions and ids that rise take little room, less than in a dictionary.
+ENCODINGS = {"parquet.writer.version": "v2", "parquet.enable.dictionary#episode_idx": "false", "parquet.enable.dictionary#index": "false"}
+# Files that a task may hold open at once; with more stores Spark sorts the rest of its rows by store.
+MOST_OPEN = 16
 # Figures that one node of the plan observes; more stores take more nodes of the same pass.
 OBSERVED = 64
 # Columns that rows may bring for the write and that are not stored.
@@ -221,12 +226,14 @@ def write_store(
     compression: str = "lzf",
     frame_bytes: int = 0,
     verify: bool = True,
+    in_order: bool = False,
 ) -> list[Record]:
     """Write the stores named in ``attributes`` and publish them together; other stores stay as they are.
 
     mode ``error`` raises if one of them exists; ``overwrite`` replaces exactly these, with nothing if there are
     no rows. An episode table without a camera holds for every camera of its split. Rows that have a ``block``
-    column are taken as spread by it already, as after ``attach_by_block``; ``decoder`` and ``opens_video`` are counted
+    column are taken as spread by it already, as after ``attach_by_block``; with ``in_order`` the rows of a task are taken to lie in
+    order in long stretches, as after ``row_position``, and are written as they come, unshuffled and unsorted. ``decoder`` and ``opens_video`` are counted
     and not stored. Rows, files, decoders and frames of a wrong size are observed by the one write;
     ``verify`` compares the rows with the episode table, and nothing is published if they differ.
     """
@@ -242,10 +249,13 @@ def write_store(
         if clash:
             raise FileExistsError(f"Stores exist below {root}, such as {clash}; use mode='overwrite'.")
 
-    if "block" not in rows.columns:
-        rows = rows.withColumn("block", F.shiftright("row", block_bits(frame_bytes)))
-        rows = rows.repartition("split", "camera", "block")
-    laid_out = rows.sortWithinPartitions("split", "camera", "block", "row").drop("block")
+    if in_order:
+        laid_out = rows
+    else:
+        if "block" not in rows.columns:
+            rows = rows.withColumn("block", F.shiftright("row", block_bits(frame_bytes)))
+            rows = rows.repartition("split", "camera", "block")
+        laid_out = rows.sortWithinPartitions("split", "camera", "block", "row").drop("block")
     of_stores = spark.createDataFrame(stores, "split string, camera string")
     index = episode_table.join(F.broadcast(of_stores), [k for k in STORE_KEYS if k in episode_table.columns])
     version = uuid.uuid4().hex
@@ -264,9 +274,10 @@ def write_store(
         listed.total("declared", F.col("ep_len"))
 
     def put(df: DataFrame, kind: str) -> None:
-        df.write.option("compression", codec).partitionBy(*STORE_KEYS).parquet(f"{root}/{kind}/version={version}")
+        df.write.options(**ENCODINGS, compression=codec).partitionBy(*STORE_KEYS).parquet(f"{root}/{kind}/version={version}")
 
-    put(written.rows().drop(DECODER, OPENS), "steps")
+    with _open_files(spark, len({camera for _, camera in stores}) if in_order else 0):
+        put(written.rows().drop(DECODER, OPENS), "steps")
     put(listed.rows(), "episodes")
     figures = {s: written.get(s) | listed.get(s) for s in stores}
     wrong = [(*s, f["n_rows"], f["declared"]) for s, f in figures.items() if countable and f["n_rows"] != f["declared"]]
@@ -287,6 +298,19 @@ def write_store(
     return [Record.of(line | {"commit": number}) for line in lines]
 
 
+@contextmanager
+def _open_files(spark: SparkSession, cameras: int) -> Iterator[None]:
+    """Let a task hold the files of all cameras of two splits open, so that rows which lie in order need no sort; 0 changes nothing."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, "0")
+    if cameras:
+        spark.conf.set(name, str(min(2 * cameras, MOST_OPEN)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class _Observed:
     """Figures of every store, taken while the rows of a DataFrame pass by on their way into files."""
 

@@ -2,6 +2,7 @@ import random
 import re
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from models import slice_issues_of, store_issues_of
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from episodica import check_stores, replay
 from episodica.functions import fixed as K
 from episodica.operators import store_checks as V
-from episodica.operators.slices import assign_slices, slice_units
+from episodica.operators.slices import assign_slices, row_pieces, slice_units, summarise_slices
 from episodica.plans.convert import attributes
 from episodica.sources import store, versions
 
@@ -132,6 +133,33 @@ def test_overlapping_slices_over_all_rows(spark):
     assert messages(found) == store_issues_of(300, lengths, offsets)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_summaries_of_rows_that_share_places(spark, seed):
+    """Slices over rows of which some places are taken twice, or by no row, with ids and flags that are missing."""
+    rng, odd = random.Random(seed), seed > 0
+    some = lambda value, share: value if rng.random() < share else None
+    rows = [(i, some(i % 7, 0.97), some(i // 7, 0.97), some(i % 7 == 6, 0.9)) for i in range(300)]
+    if odd:
+        rows = [r for r in rows if rng.random() < 0.98] + [(r[0], r[1], r[2], rng.random() < 0.5) for r in rng.choices(rows, k=20)]
+    spans = [(lo, lo + rng.choice([1, 7, 7, 64, 128, 150])) for lo in [0, 64, 128, 63, *(rng.randrange(0, 21) * 7 for _ in range(25))]]
+    table = spark.createDataFrame([("a", k, lo, hi - lo) for k, (lo, hi) in enumerate(spans)], "split string, ep_pos long, ep_offset long, ep_len long")
+    df = spark.createDataFrame([("a", *r) for r in rows], "split string, row long, step_idx long, episode_idx long, done boolean").repartition(3)
+    got = {r.ep_pos: (r.found, bool(r.bad_steps), bool(r.mixed), r.ends_done, r.early_done) for r in summarise_slices(df, table, ["split"]).collect()}
+    want = {}
+    for k, (lo, hi) in enumerate(spans):
+        of = [r for r in rows if lo <= r[0] < hi]
+        ids, ends = {r[2] for r in of} - {None}, any(r[3] for r in of if r[0] == hi - 1)
+        bad = any(r[1] is not None and r[1] != r[0] - lo for r in of)
+        want[k] = (len(of), bad, len(ids) > 1, ends, sum(bool(r[3]) for r in of) > ends)
+    assert got == {k: v for k, v in want.items() if v[0]}
+
+
+def test_an_episode_is_one_piece_of_a_block(spark):
+    """Single rows used to be shuffled one by one; an episode of 16 rows is one piece now."""
+    rows = spark.range(64 * 50).selectExpr("'a' as split", "id as row", "id % 16 as step_idx", "id div 16 as episode_idx", "id % 16 = 15 as done")
+    assert row_pieces(rows, ["split"]).count() == 64 * 50 // 16
+
+
 def test_inspect(spark):
     rows, table = rows_of(spark, four_rows([0, 1, 0, 1])), table_of(spark, [2, 2], [0, 2])
     assert tuple(V.inspect(rows, table).first())[2:] == (2, 4)
@@ -167,6 +195,27 @@ def test_write_and_read_back(spark, tmp_path, compression):
     assert (first.source_repo_id, first.source_split, first.source_camera_key, first.fps) == ("some/data", "val", CAMERA, 10)
 
 
+def test_rows_in_order_are_written_as_they_lie(spark, tmp_path):
+    """No shuffle and no sort: every task writes its own rows to one file for each store, and positions take next to no room."""
+    rows = rows_of(spark, [(i // 5, i % 5, i % 5 == 4) for i in range(3000)], shape=(1, 1, 1)).repartitionByRange(3, "row").sortWithinPartitions("row")
+    both = rows.drop("camera").withColumn("camera", F.explode(F.array(F.lit(CAMERA), F.lit("wrist"))))
+    table = table_of(spark, [5] * 600, range(0, 3000, 5))
+    setting = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    store.write_store(both, table, attributes(spark, "x", 10, ["train"], [CAMERA, "wrist"]), str(tmp_path), in_order=True)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == setting
+    files = sorted(tmp_path.glob("steps/**/*.parquet"))
+    assert len(files) == 6
+    held = []
+    for f in files:
+        at = pq.read_table(f, columns=["row"], partitioning=None)["row"].to_pylist()
+        assert at == list(range(at[0], at[0] + len(at)))
+        held += at
+        group = pq.ParquetFile(f).metadata.row_group(0)
+        size = {group.column(k).path_in_schema: group.column(k).total_compressed_size for k in range(group.num_columns)}
+        assert size["row"] < len(at) and size["episode_idx"] < len(at)
+    assert sorted(held) == sorted([*range(3000)] * 2)
+
+
 def test_overwrite_guard(spark, tmp_path):
     root = str(tmp_path / "s")
     write(spark, root)
