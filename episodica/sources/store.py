@@ -8,8 +8,7 @@ read without opening the files of another, and a failed or empty overwrite leave
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Iterable, Sequence
 from functools import cached_property, reduce
 from operator import and_
 
@@ -19,6 +18,7 @@ from pyspark.sql import types as T
 
 from episodica.functions import fixed as K
 from episodica.functions.names import camera_slug, match_camera
+from episodica.operators.ordering import setting
 from episodica.sources.reports import PRODUCED
 from episodica.sources.versions import Record, exists, files_per_store, last_commit, publish, published
 
@@ -276,7 +276,9 @@ def write_store(
     def put(df: DataFrame, kind: str) -> None:
         df.write.options(**ENCODINGS, compression=codec).partitionBy(*STORE_KEYS).parquet(f"{root}/{kind}/version={version}")
 
-    with _open_files(spark, len({camera for _, camera in stores}) if in_order else 0):
+    # A task may hold the files of all cameras of two splits open, so that rows which lie in order need no sort.
+    open_files = min(2 * len({camera for _, camera in stores}), MOST_OPEN) if in_order else 0
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(open_files)):
         put(written.rows().drop(DECODER, OPENS), "steps")
     put(listed.rows(), "episodes")
     figures = {s: written.get(s) | listed.get(s) for s in stores}
@@ -298,19 +300,6 @@ def write_store(
     return [Record.of(line | {"commit": number}) for line in lines]
 
 
-@contextmanager
-def _open_files(spark: SparkSession, cameras: int) -> Iterator[None]:
-    """Let a task hold the files of all cameras of two splits open, so that rows which lie in order need no sort; 0 changes nothing."""
-    name = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(name, "0")
-    if cameras:
-        spark.conf.set(name, str(min(2 * cameras, MOST_OPEN)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 class _Observed:
     """Figures of every store, taken while the rows of a DataFrame pass by on their way into files."""
 

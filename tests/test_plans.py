@@ -191,6 +191,21 @@ def test_files_are_opened_in_the_tasks(spark, tmp_path, files_a_task):
     assert carried.count() == len(frames)
 
 
+def test_small_files_share_a_task(spark, tmp_path):
+    """1,000 files of some bytes took 63 tasks of 16 files, however small; now no more than twice what runs at once."""
+    folder = tmp_path / "videos" / "cam"
+    folder.mkdir(parents=True)
+    for e in range(1000):
+        folder.joinpath(f"episode_{e}.mp4").write_bytes(bytes([e % 251] * 12 * (1 + e % 3)))
+    wanted = spark.range(1000).selectExpr("'s' as split", "id as episode_index", "'cam' as camera", "1 + id % 3 as ep_len", "0L as ep_offset")
+    files = source.read_videos(spark, str(tmp_path)).drop("content")
+    located = locate(wanted, files)
+    assert "n_bytes" not in located.columns
+    assert located.rdd.getNumPartitions() == min(63, 2 * spark.sparkContext.defaultParallelism)
+    many = [(r.episode_index, r.frame_pos, r.pixels.data[0]) for r in decode(located, RAW, expected="expected").collect()]
+    assert sorted(many) == [(e, k, e % 251) for e in range(1000) for k in range(1 + e % 3)]
+
+
 def test_sparse_ids_and_odd_names(spark, tmp_path):
     folder = tmp_path / "videos" / "cam a%20b"
     folder.mkdir(parents=True)
