@@ -112,6 +112,8 @@ def slice_units(slices: DataFrame, bits: Sequence[int] = UNIT_BITS) -> DataFrame
     return slices.select("*", F.inline(F.concat(*pieces)))
 
 
+# Blocks of a short slice, and blocks or slices that are sent to every executor.
+SHORT_BLOCKS, LISTED_BLOCKS = 16, 100_000
 # Rows of a block whose places in it are the bits of one long.
 PIECE_BITS = 6
 
@@ -150,6 +152,53 @@ def row_pieces(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return pieces.join(blocks, [*keys, "block"], "left_anti").unionByName(apart)
 
 
+def _block_digests(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per block of 64 rows: two sums over the hashes of its rows (row, lead, ep, done), their number, and whether each has a place of its own."""
+    place = F.expr(f"shiftleft(1L, cast(row & {(1 << PIECE_BITS) - 1} as int))")
+    hashed = rows.where("row is not null").select(
+        *keys, F.shiftright("row", PIECE_BITS).alias("block"), F.xxhash64("row", "lead", "ep", "done").alias("h"), place.alias("place"),
+        (F.col("lead").isNull() | F.col("ep").isNull()).alias("gap"),
+    )
+    sums = [F.sum(F.expr("h & 4294967295L")).alias("low"), F.sum(F.shiftrightunsigned("h", 32)).alias("high")]
+    n = F.count(F.lit(1))
+    return hashed.groupBy(*keys, "block").agg(n.alias("n"), *sums, ((F.bit_count(F.bit_or("place")) == n) & ~F.bool_or("gap")).alias("plain"))
+
+
+def doubtful_slices(rows: DataFrame, slices: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | None, int]:
+    """The slices that may have a fault, the blocks that they touch (None: all) and the number of slices.
+
+    A block whose rows are just what its slices ask for (each place once, lead and episode of the slice, done at its end) is
+    told by one comparison of digests (two sums of 64-bit hashes), one row per block from either side, so clean stores shuffle
+    next to nothing. Slices that touch another block, and long ones, are left for ``summarise_slices``.
+    """
+    keys = list(keys)
+    placed = slices.withColumns({"lo": F.col("ep_offset"), "hi": F.col("ep_offset") + F.col("ep_len")})
+    first, last = F.shiftright("lo", PIECE_BITS), F.shiftright(F.col("hi") - 1, PIECE_BITS)
+    short = last - first < SHORT_BLOCKS
+    asked = placed.where(short).select(*keys, "lo", "hi", F.col("episode_index").cast("long").alias("ep"), F.explode(F.sequence("lo", F.col("hi") - 1)).alias("row"))
+    asked = asked.select(*keys, "row", (-F.col("lo")).alias("lead"), "ep", (F.col("row") == F.col("hi") - 1).alias("done"))
+    there = rows.select(
+        *keys, "row", (F.col("step_idx") - F.col("row")).alias("lead"), F.col("episode_idx").cast("long").alias("ep"), F.coalesce("done", F.lit(False)).alias("done")
+    )
+    both = _block_digests(there, keys).join(_block_digests(asked, keys).withColumnsRenamed({c: f"asked_{c}" for c in ("n", "low", "high", "plain")}), [*keys, "block"], "full")
+    alike = F.col("plain") & (F.col("n") == F.col("asked_n")) & (F.col("low") == F.col("asked_low")) & (F.col("high") == F.col("asked_high"))
+    odd, _ = spooled(both.where(~F.coalesce(alike, F.lit(False))).select(*keys, "block"))
+    blocks = F.explode(F.sequence(first, last)).alias("block")
+    touched = placed.where(short).select(*keys, "ep_pos", blocks).join(odd, [*keys, "block"], "left_semi").select(*keys, "ep_pos").distinct()
+    touched, n_touched = spooled(touched)
+    touched = F.broadcast(touched) if n_touched <= LISTED_BLOCKS else touched
+    doubted = placed.join(touched, [*keys, "ep_pos"], "left_semi").unionByName(placed.where(~short))
+    doubted, n = spooled(doubted.withColumn("short", short))
+    if not n:
+        return doubted, None, 0
+    long_ones = doubted.where(~F.col("short")).limit(1).count()
+    listed = None
+    if not long_ones:
+        listed, n_blocks = spooled(doubted.select(*keys, blocks).distinct())
+        listed = listed if n_blocks <= LISTED_BLOCKS else None
+    return doubted, listed, n
+
+
 def slice_edges(slices: DataFrame) -> DataFrame:
     """The blocks that a slice [lo, hi) holds in part, at most two: its columns, block, and the first and last place in it."""
     size = 1 << PIECE_BITS

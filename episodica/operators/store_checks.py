@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from episodica.functions import fixed as K
 from episodica.operators.ordering import RANGE_BITS, materialised, scan
-from episodica.operators.slices import summarise_slices
+from episodica.operators.slices import PIECE_BITS, doubtful_slices, summarise_slices
 
 STORE = ["split", "camera"]
 # Stores (split x camera) up to which the table of stores is sent to every executor.
@@ -166,9 +166,10 @@ def validate(
     whole = stores.join(_per_store(index, n_indexes), keys, "left").na.fill(0, ["n_len", "n_offset", "sum_len"])
     store_wide = _messages(whole, [*_row_checks(rows, pixel_bytes), *_index_checks()])
 
+    named = [c for c in ("episode_index",) if c in episode_table.columns and isinstance(episode_table.schema[c].dataType, T.IntegralType)]
     slices = (
         episode_table.where("ep_len is not null and ep_offset is not null")
-        .select(*keys, "ep_pos", "ep_len", "ep_offset")
+        .select(*keys, "ep_pos", "ep_len", "ep_offset", *named)
         .join(_per_store(stores.select(*STORE, "n_rows"), n_stores), keys)
     )
     return store_wide.unionByName(slice_messages(rows, slices, strict_done))
@@ -246,9 +247,21 @@ def _index_checks() -> list[tuple[int, Column, Column]]:
 
 
 def slice_messages(rows: DataFrame, slices: DataFrame, strict_done: bool = True) -> DataFrame:
-    """Messages about single slices; ``slices`` has one row per store and slice, with n_rows."""
+    """Messages about single slices; ``slices`` has one row per store and slice, with n_rows.
+
+    With an ``episode_index`` the blocks of rows are compared with what the slices ask for, and only slices that differ are looked into.
+    """
     narrow = rows.select(*STORE, "row", "step_idx", "episode_idx", "done")
-    seen = summarise_slices(narrow, slices.where(_fits() & (F.col("ep_len") > 0)), STORE)
+    usable = F.coalesce(_fits() & (F.col("ep_len") > 0) & F.col("ep_pos").isNotNull(), F.lit(False))
+    whole = slices.where(usable)
+    if "episode_index" in slices.columns:
+        whole, blocks, n = doubtful_slices(narrow, whole, STORE)
+        if not n:
+            narrow = narrow.where(F.lit(False))
+        elif blocks is not None:
+            narrow = narrow.withColumn("block", F.shiftright("row", PIECE_BITS)).join(F.broadcast(blocks), [*STORE, "block"], "left_semi").drop("block")
+        slices = slices.where(~usable).unionByName(whole.select(*slices.columns))
+    seen = summarise_slices(narrow, whole, STORE)
     end = F.col("ep_offset") + F.col("ep_len")
     # A negative length selects rows as a Python slice does: an end below 0 counts from the back.
     stop = F.when(end < 0, F.greatest(end + F.col("n_rows"), F.lit(0))).otherwise(end)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from episodica import check_stores, replay
 from episodica.functions import fixed as K
 from episodica.operators import store_checks as V
-from episodica.operators.slices import assign_slices, row_pieces, slice_units, summarise_slices
+from episodica.operators.slices import assign_slices, doubtful_slices, row_pieces, slice_units, summarise_slices
 from episodica.plans.convert import attributes
 from episodica.sources import store, versions
 
@@ -154,6 +154,21 @@ def test_summaries_of_rows_that_share_places(spark, seed):
     assert got == {k: v for k, v in want.items() if v[0]}
 
 
+def test_only_slices_of_odd_blocks_are_looked_into(spark):
+    """640 episodes of 5 rows; a wrong step, a wrong flag, a place taken twice and two slices over the same rows."""
+    rows = spark.range(3200).selectExpr("'a' as split", "id as row", "id % 5 as step_idx", "id div 5 as episode_idx", "id % 5 = 4 as done")
+    table = spark.range(640).selectExpr("'a' as split", "id as ep_pos", "5L as ep_len", "id * 5 as ep_offset", "id as episode_index")
+    assert doubtful_slices(rows, table, ["split"])[2] == 0
+
+    wrong = rows.withColumns({"step_idx": F.when(F.col("row") == 700, 3).otherwise(F.col("step_idx")), "done": F.when(F.col("row") == 1400, True).otherwise(F.col("done"))})
+    wrong = wrong.unionByName(rows.where("row between 2100 and 2104"))
+    slices = table.unionByName(table.where("ep_pos between 420 and 420 or ep_pos = 560").withColumn("ep_pos", F.col("ep_pos") + 1000))
+    found, blocks, n = doubtful_slices(wrong, slices, ["split"])
+    named = {r.ep_pos for r in found.collect()}
+    assert {140, 280, 420, 560, 1420, 1560} <= named and n == len(named) < 80
+    assert {r.block for r in blocks.collect()} >= {700 // 64, 1400 // 64, 2100 // 64, 2800 // 64}
+
+
 def test_an_episode_is_one_piece_of_a_block(spark):
     """Single rows used to be shuffled one by one; an episode of 16 rows is one piece now."""
     rows = spark.range(64 * 50).selectExpr("'a' as split", "id as row", "id % 16 as step_idx", "id div 16 as episode_idx", "id % 16 = 15 as done")
