@@ -400,6 +400,48 @@ def test_passages_down_to_least_similarity(spark, every):
     assert {(r.doc_id, r.partner_id) for r in passage_rows(spark, *docs)} == {(2 * i + 1, 2 * i) for i in range(30)}
 
 
+@pytest.mark.parametrize("cell", [1024, 16])
+def test_passage_of_common_seeds_only(spark, monkeypatch, cell):
+    """Every seed of a passage has many other places, whose documents hold single runs of it."""
+    monkeypatch.setattr(chained_passages, "CELL", cell)
+    rng = random.Random(11)
+    p = some_words(rng, 60)
+    changed = ["x" + w if k % 6 == 5 else w for k, w in enumerate(p)]
+    docs = [(i, some_words(rng, 9) + [w for k in np.random.default_rng(i).permutation(10) for w in [*p[6 * k : 6 * k + 5], *some_words(rng, 12)]]) for i in range(40)]
+    docs += [(100, some_words(rng, 20) + p + some_words(rng, 20)), (200, some_words(rng, 12) + changed + some_words(rng, 15))]
+    rows = passage_rows(spark, *docs)
+    assert [(r.doc_id, r.partner_id) for r in rows] == [(200, 100)] and rows[0].words >= 50 and rows[0].similarity >= 0.8
+
+
+def test_windows_of_common_seeds():
+    """Every window of enough equal words that a place shares with a smaller one is linked, where their run of equal words begins."""
+    rng = np.random.default_rng(12)
+    cp = chained_passages
+    base = rng.integers(1, 1 << 63, 140, dtype=np.uint64)
+    texts = []
+    for _ in range(60):
+        words = np.where(rng.random(140) < rng.choice([0.05, 0.2, 0.4]), rng.integers(1, 1 << 63, 140, dtype=np.uint64), base)
+        words[60 : 60 + cp.K] = base[60 : 60 + cp.K]
+        texts.append(words)
+    codes = np.concatenate([cp.words_around(w, np.array([60])) for w in texts])
+    rows = np.stack([np.arange(60), np.full(60, 60)], 1)
+    one = np.zeros(60, np.int64)
+    found = cp.same_windows(rows, one, codes, one)
+    partners = {}
+    for i, j, x, y, kind in found.tolist():
+        assert x == y and kind == cp.WINDOW
+        partners.setdefault(i, set()).add(j)
+    seen = 0
+    for i in range(60):
+        for start in range(60 - cp.BEFORE, 61):
+            share = [j for j in range(i) if (texts[i] == texts[j])[start : start + cp.MIN_WORDS].sum() >= 40]
+            seen += bool(share)
+            assert not share or partners.get(i, set()) & set(share)
+    assert seen and all(len(p) <= cp.WINDOWS for p in partners.values())
+    same = np.full(60, 5)
+    assert not len(cp.same_windows(rows, same, codes, one))
+
+
 # --- 10 near duplicates
 
 
