@@ -276,8 +276,8 @@ def write_store(
     def put(df: DataFrame, kind: str) -> None:
         df.write.options(**ENCODINGS, compression=codec).partitionBy(*STORE_KEYS).parquet(f"{root}/{kind}/version={version}")
 
-    # A task may hold the files of all cameras of two splits open, so that rows which lie in order need no sort.
-    open_files = min(2 * len({camera for _, camera in stores}), MOST_OPEN) if in_order else 0
+    # A task may hold the files of all stores open, so that rows which lie in order need no sort; Spark sorts from the last one allowed on.
+    open_files = min(len(stores), MOST_OPEN) + 1 if in_order else 0
     with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(open_files)):
         put(written.rows().drop(DECODER, OPENS), "steps")
     put(listed.rows(), "episodes")

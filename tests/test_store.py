@@ -1,5 +1,6 @@
 import random
 import re
+from datetime import datetime
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -7,6 +8,7 @@ import pytest
 from models import slice_issues_of, store_issues_of
 from pyspark.sql import functions as F
 
+from checks import views
 from episodica import check_stores, replay
 from episodica.functions import fixed as K
 from episodica.operators import store_checks as V
@@ -231,6 +233,34 @@ def test_rows_in_order_are_written_as_they_lie(spark, tmp_path):
     assert sorted(held) == sorted([*range(3000)] * 2)
 
 
+def test_rows_in_order_of_many_stores_need_no_sort(spark, tmp_path, monkeypatch):
+    """A task with rows of all splits keeps a file of each store open: Spark sorts the rest when as many as allowed are open."""
+    allowed, splits_, cameras = [], ["test", "train", "val"], [CAMERA, "wrist"]
+    setting = store.setting
+    monkeypatch.setattr(store, "setting", lambda spark, name, value: allowed.append((name, int(value))) or setting(spark, name, value))
+    rows = rows_of(spark, [(i // 5, i % 5, i % 5 == 4) for i in range(30)], shape=(1, 1, 1)).drop("split", "camera")
+    for name, values in (("split", splits_), ("camera", cameras)):
+        rows = rows.withColumn(name, F.explode(F.array(*map(F.lit, values))))
+    index = table_of(spark, [5] * 6, range(0, 30, 5)).drop("split").withColumn("split", F.explode(F.array(*map(F.lit, splits_))))
+    store.write_store(rows.coalesce(1), index, attributes(spark, "x", 10, splits_, cameras), str(tmp_path), in_order=True)
+    assert all(n > 6 for name, n in allowed if name.endswith("OutputFileWriters")) and allowed
+    files = sorted(tmp_path.glob("steps/**/*.parquet"))
+    assert len(files) == 6
+    assert all(pq.read_table(f, columns=["row"], partitioning=None)["row"].to_pylist() == list(range(30)) for f in files)
+
+
+def test_cells_of_lines_take_one_window(spark, tmp_path):
+    lines = [(o, 1, 1, n, 1.0, 2.0, 0.5, 0.25, datetime(2020, 1, 1)) for o, n in [(1, 1), (1, 2), (1, 2), (2, 7), (None, 1), (None, 3)]]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1,), (2,), (3,)], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    cells = views._line_cells(spark, str(tmp_path))
+    rows = sorted(tuple(r) for r in cells.na.fill(-1, ["ep"]).select("ep", "step0", "n", "is_last").collect())
+    assert rows == [(-1, 0, 2, False), (-1, 1, 2, True), (1, 0, 3, False), (1, 1, 3, False), (1, 2, 3, True), (2, 0, 1, True)]
+    plan = cells.drop("n")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1
+
+
 def test_overwrite_guard(spark, tmp_path):
     root = str(tmp_path / "s")
     write(spark, root)
