@@ -442,6 +442,75 @@ def test_windows_of_common_seeds():
     assert not len(cp.same_windows(rows, same, codes, one))
 
 
+def test_passages_leave_no_shuffles(spark):
+    """The shuffles of the steps go when these are done: at most the last one needs disk besides what is written."""
+    rng = random.Random(13)
+    shared = [some_words(rng, 60) for _ in range(40)]
+    docs = [(i, " ".join(some_words(rng, 300) + shared[i % 40] + some_words(rng, 300))) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    size = lambda: {(f := files.apply(k)).getName(): f.length() for files in [disk.getAllFiles()] for k in range(files.size())}
+    before = size()
+    found = chained_passages.passages(df)
+    left = sum(n for name, n in size().items() if name.startswith("shuffle") and name not in before)
+    assert left < 0.3 * sum(len(t) for _, t in docs)
+    assert {r.doc_id for r in found.collect()} == set(range(40, 300))
+
+
+def test_parts_hold_texts(spark):
+    texts = [(1, ""), (2, "Ä é  ß\U0001f600 a"), (2, "other"), (3, "w " * (1 << 20)), (None, "x"), (4, "\u2028 y")]
+    df = spark.createDataFrame(texts, "id long, text string").coalesce(1)
+    parts = chained_passages.numbered(df).toArrow()
+    got = [(i, t) for _, ids, found in chained_passages.texts_in(parts) for i, t in zip(ids, found)]
+    assert got == texts and parts.num_rows == 2 and len(set(parts.column("part").to_pylist())) == 2
+    assert sum(parts.column("chars").to_pylist()) == sum(len(t) for _, t in texts)
+
+
+def test_alignment_in_pieces():
+    """Words in common by trimmed ends, and words between seeds all at once, agree with the plain way."""
+    rng = random.Random(14)
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for w in a:
+            row = [0] + [0] * len(b) if not row else row
+            new = [0]
+            for k, o in enumerate(b):
+                new.append(max(new[-1], row[k + 1], row[k] + (w == o)))
+            row = new
+        return row[-1]
+
+    for _ in range(200):
+        a, b = (np.array([rng.randint(0, 3) for _ in range(rng.randint(0, 9))], np.int64) for _ in range(2))
+        assert chained_passages._edit_matches(a, b) == plain(a, b)
+        x = np.array(sorted(rng.sample(range(60), rng.randint(1, 30))))
+        chain = chained_passages.chains(x, x + 7)
+        tree, score, previous = [], [0.0] * len(x), [-1] * len(x)
+        cost = (chained_passages.GAP_COST * (2 * x + 7)).tolist()
+        chained_passages._best_before(x.tolist(), list(range(1, len(x) + 1)), cost, score, previous)
+        used = set()
+        for i in sorted(range(len(x)), key=lambda i: (-score[i], i)):
+            one = []
+            while i >= 0 and i not in used:
+                used.add(i)
+                one.append(i)
+                i = previous[i]
+            tree += [one[::-1]] if len(one) >= chained_passages.MIN_SEEDS else []
+        # Gaps of more than MAX_GAP words end chains besides; such costs leave none.
+        assert [c.tolist() for c in chain] == tree
+
+
+def test_longest_chain_first():
+    """What lies inside a passage of its document is not aligned; what reaches as far as it is."""
+    words = " ".join(some_words(random.Random(15), 200))
+    side = lambda n, i, a, b: {"side": n, "id": i, "chain": 0, "places": np.arange(a, b - 3), "low": 0, "first": 0, "piece": words}
+    taken = []
+    whole = chained_passages._aligned([side(0, 9, 0, 200), side(1, 1, 0, 200)], taken)
+    assert [r[1:3] for r in whole] == taken == [(0, len(words))]
+    assert len(chained_passages._aligned([side(0, 9, 50, 150), side(1, 2, 50, 150)], taken)) == 1
+    assert not chained_passages._aligned([side(0, 9, 50, 150), side(1, 2, 50, 150)], [(0, len(words) + 1)])
+
+
 # --- 10 near duplicates
 
 
