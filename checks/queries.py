@@ -524,6 +524,12 @@ def resize_up(spark, sf_dir):
     )
 
 
+def _decoded_texts(spark, sf_dir):
+    """Frames of every text; one without a byte, or a null, expects none."""
+    n_frames = F.ceil(F.coalesce(F.octet_length("content"), F.lit(0)) / 64)
+    return frames.decode(X.text_videos(spark, sf_dir).withColumn("expected", n_frames), DECODERS, expected="expected", fail_short=True)
+
+
 def decode_texts(spark, sf_dir):
     return frames.decode(X.text_videos(spark, sf_dir), DECODERS).select(
         "episode_index", "frame_pos", "decoder", F.hex("pixels.data").alias("bytes")
@@ -544,7 +550,7 @@ def decode_from_files(spark, sf_dir):
 
 
 def decoder_counts(spark, sf_dir):
-    return frames.decoder_counts(frames.decode(X.text_videos(spark, sf_dir), DECODERS))
+    return frames.decoder_counts(_decoded_texts(spark, sf_dir))
 
 
 # --- signals -------------------------------------------------------------------------------

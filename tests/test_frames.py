@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries as Q
 from episodica.functions import fixed as K
 from episodica.operators import frames as P
 
@@ -90,6 +91,13 @@ def test_decode_stops_at_the_expected_frames(videos):
         P.decode(videos, [("raw", raw_rgb)], expected="ep_len", fail_short=True).count()
 
 
+def test_texts_without_a_byte_have_no_frames(spark, tmp_path):
+    """An empty or missing text is opened by no decoder; it ended the job."""
+    texts = {1: "Capital", 2: "", 3: None, 4: "small " * 20, 5: "é" * 40}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {tuple(r) for r in Q.decoder_counts(spark, str(tmp_path)).collect()} == {("any", 1), ("lower", 2)}
+
+
 def test_decode_errors(videos):
     with pytest.raises(Exception, match="empty stream.*cannot open"):
         P.decode(videos, [("raw", raw_rgb), ("broken", broken)]).count()
