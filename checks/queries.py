@@ -531,9 +531,7 @@ def _decoded_texts(spark, sf_dir):
 
 
 def decode_texts(spark, sf_dir):
-    return frames.decode(X.text_videos(spark, sf_dir), DECODERS).select(
-        "episode_index", "frame_pos", "decoder", F.hex("pixels.data").alias("bytes")
-    )
+    return _decoded_texts(spark, sf_dir).select("episode_index", "frame_pos", "decoder", F.hex("pixels.data").alias("bytes"))
 
 
 def decode_from_files(spark, sf_dir):

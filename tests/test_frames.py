@@ -95,6 +95,11 @@ def test_texts_without_a_byte_have_no_frames(spark, tmp_path):
     """An empty or missing text is opened by no decoder; it ended the job."""
     texts = {1: "Capital", 2: "", 3: None, 4: "small " * 20, 5: "é" * 40}
     spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = Q.decode_texts(spark, str(tmp_path)).collect()
+    data = {i: t.encode() for i, t in texts.items() if t}
+    want = {(i, k // 64): d[k : k + 64].ljust(64).hex().upper() for i, d in data.items() for k in range(0, len(d), 64)}
+    assert {(r.episode_index, r.frame_pos): r.bytes for r in rows} == want and len(rows) == len(want)
+    assert {r.decoder for r in rows if r.episode_index == 1} == {"any"}
     assert {tuple(r) for r in Q.decoder_counts(spark, str(tmp_path)).collect()} == {("any", 1), ("lower", 2)}
 
 
