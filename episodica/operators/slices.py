@@ -118,6 +118,13 @@ SHORT_BLOCKS, LISTED_BLOCKS = 16, 100_000
 PIECE_BITS = 6
 
 
+def _by_length(table: DataFrame, n: int) -> DataFrame:
+    """A written table as a side of a join, by its known length: Spark would judge it by its file, where sorted keys take a
+    fraction of a byte each, and send tens of millions of rows to the driver and to every executor.
+    """
+    return F.broadcast(table) if n <= LISTED_BLOCKS else table.hint("merge")
+
+
 def row_pieces(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows folded by block of 64, lead (step_idx - row) and episode: which places of the block they take, as bits.
 
@@ -143,7 +150,7 @@ def row_pieces(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     pieces, n_shared = spooled(folded.withColumn("times", one), F.count_if(shared))
     if not n_shared:
         return pieces
-    blocks = pieces.where(shared).select(*keys, "block").distinct()
+    blocks = _by_length(pieces.where(shared).select(*keys, "block").distinct(), n_shared)
     apart = narrow.join(blocks, [*keys, "block"], "left_semi").groupBy(*keys, "block", "lead", "ep", "bit", "done").agg(n.alias("n"))
     apart = apart.select(
         *keys, "block", "lead", "ep", F.col("bit").alias("present"), F.when(F.col("done"), F.col("bit")).otherwise(0).alias("dones"),
@@ -182,12 +189,11 @@ def doubtful_slices(rows: DataFrame, slices: DataFrame, keys: Sequence[str]) ->
     )
     both = _block_digests(there, keys).join(_block_digests(asked, keys).withColumnsRenamed({c: f"asked_{c}" for c in ("n", "low", "high", "plain")}), [*keys, "block"], "full")
     alike = F.col("plain") & (F.col("n") == F.col("asked_n")) & (F.col("low") == F.col("asked_low")) & (F.col("high") == F.col("asked_high"))
-    odd, _ = spooled(both.where(~F.coalesce(alike, F.lit(False))).select(*keys, "block"))
+    odd, n_odd = spooled(both.where(~F.coalesce(alike, F.lit(False))).select(*keys, "block"))
     blocks = F.explode(F.sequence(first, last)).alias("block")
-    touched = placed.where(short).select(*keys, "ep_pos", blocks).join(odd, [*keys, "block"], "left_semi").select(*keys, "ep_pos").distinct()
+    touched = placed.where(short).select(*keys, "ep_pos", blocks).join(_by_length(odd, n_odd), [*keys, "block"], "left_semi").select(*keys, "ep_pos").distinct()
     touched, n_touched = spooled(touched)
-    touched = F.broadcast(touched) if n_touched <= LISTED_BLOCKS else touched
-    doubted = placed.join(touched, [*keys, "ep_pos"], "left_semi").unionByName(placed.where(~short))
+    doubted = placed.join(_by_length(touched, n_touched), [*keys, "ep_pos"], "left_semi").unionByName(placed.where(~short))
     doubted, n = spooled(doubted.withColumn("short", short))
     if not n:
         return doubted, None, 0
@@ -196,7 +202,7 @@ def doubtful_slices(rows: DataFrame, slices: DataFrame, keys: Sequence[str]) ->
     if not long_ones:
         listed, n_blocks = spooled(doubted.select(*keys, blocks).distinct())
         listed = listed if n_blocks <= LISTED_BLOCKS else None
-    return doubted, listed, n
+    return doubted if n <= LISTED_BLOCKS else doubted.hint("merge"), listed, n
 
 
 def slice_edges(slices: DataFrame) -> DataFrame:
@@ -262,7 +268,8 @@ def summarise_slices(
     units = slice_units(bounded, bits)
     size = F.element_at(F.array(*[F.lit(1 << b).cast("long") for b in bits]), F.col("level") + 1)
     closes = (F.col("unit") + 1) * size == F.col("hi")
-    whole = unit_summaries(pieces, keys, bits).join(units, [*keys, "level", "unit"]).withColumn("ends_done", closes & F.col("ends_done"))
+    # A slice is up to a thousand units, so their number says nothing of the size of ``slices``.
+    whole = unit_summaries(pieces, keys, bits).join(units.hint("merge"), [*keys, "level", "unit"]).withColumn("ends_done", closes & F.col("ends_done"))
     ends_done = F.coalesce(F.bool_or("ends_done"), F.lit(False))
     return (
         cut.unionByName(whole.select(*cut.columns))

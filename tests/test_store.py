@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from checks import views
 from episodica import check_stores, replay
 from episodica.functions import fixed as K
-from episodica.operators import store_checks as V
+from episodica.operators import ordering, store_checks as V
+from episodica.operators import slices as operators_slices
 from episodica.operators.slices import assign_slices, doubtful_slices, row_pieces, slice_units, summarise_slices
 from episodica.plans.convert import attributes
 from episodica.sources import store, versions
@@ -171,6 +172,32 @@ def test_only_slices_of_odd_blocks_are_looked_into(spark):
     assert {r.block for r in blocks.collect()} >= {700 // 64, 1400 // 64, 2100 // 64, 2800 // 64}
 
 
+def test_written_tables_are_joined_by_their_length(spark, monkeypatch):
+    """Blocks and slices to look into went to the driver and every executor if their file was small, however many rows it held."""
+    rows = spark.range(3200).selectExpr(
+        "'a' as split", "'c' as camera", "id as row", "case when id % 700 = 99 then 3 else id % 5 end as step_idx", "id div 5 as episode_idx", "id % 5 = 4 as done"
+    )
+    rows = rows.unionByName(rows.where("row between 2100 and 2104"))
+    slices = spark.range(640).selectExpr(
+        "'a' as split", "'c' as camera", "id as ep_pos", "if(id = 500, 6L, 5L) as ep_len", "id * 5 as ep_offset", "id as episode_index", "3200L as n_rows"
+    )
+    want = messages(V.slice_messages(rows, slices))
+    plans = []
+
+    def written(df, *figure):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return ordering.spooled(df, *figure)
+
+    monkeypatch.setattr(operators_slices, "spooled", written)
+    monkeypatch.setattr(operators_slices, "LISTED_BLOCKS", 2)
+    found = V.slice_messages(rows, slices)
+    assert messages(found) == want and len(want) > 4
+    joins = [p for p in plans if "Join" in p]
+    assert len(joins) >= 3 and not any("BroadcastHashJoin" in p for p in joins)
+    met = found._jdf.queryExecution().optimizedPlan().toString()
+    assert met.count("strategy=merge") >= 2
+
+
 def test_an_episode_is_one_piece_of_a_block(spark):
     """Single rows used to be shuffled one by one; an episode of 16 rows is one piece now."""
     rows = spark.range(64 * 50).selectExpr("'a' as split", "id as row", "id % 16 as step_idx", "id div 16 as episode_idx", "id % 16 = 15 as done")
